@@ -40,7 +40,7 @@ def read_heads(spark: SparkSession, path: str, n_bytes: int = len(ARCHIVE_MAGIC)
 
 
 def classify_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, is_archive) for every file under a path."""
+    """(path, length, is_archive) for the files under a path; Spark's listing leaves out empty files."""
     return read_heads(spark, path).select("path", "length", is_archive(F.col("head")).alias("is_archive"))
 
 

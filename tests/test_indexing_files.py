@@ -1,0 +1,140 @@
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventloom.operators import files, indexing
+from eventloom.operators.chunks import carry_before
+from eventloom.schema import FILE, IDX, STREAM
+from eventloom.sources.events import read_lines
+from tests.helpers import SF_SMALL, events, values
+
+
+@pytest.mark.parametrize("span_bits", [0, 2, 10])
+def test_carry_over_chunks(spark, span_bits):
+    rng = random.Random(1)
+    rows, model = [], []
+    for stream in ("a", "b"):
+        total, last = 0, None
+        for chunk in sorted(rng.sample(range(-40, 200), 60)):
+            value = rng.choice([None, rng.randrange(9)])
+            rows.append((stream, chunk, value))
+            model.append((stream, chunk, total, last))
+            total, last = total + (value or 0), value if value is not None else last
+    summary = spark.createDataFrame(rows, "s string, c bigint, v bigint")
+    sums = carry_before(summary, ["s"], "c", "v", "sum", "out", span_bits)
+    assert values(sums, "s", "c", "out") == [m[:3] for m in model]
+    lasts = carry_before(summary, ["s"], "c", "v", "last", "out", span_bits)
+    got = {(r["s"], r["c"]): r["out"] for r in lasts.collect()}
+    assert got == {m[:2]: m[3] for m in model}
+
+
+@pytest.mark.parametrize("bits", [0, 3, 18])
+def test_index_by_order(spark, bits):
+    rng = random.Random(2)
+    orders = rng.sample(range(-500, 5000), 300)
+    rows = [("hot" if rng.random() < 0.8 else "s%d" % rng.randrange(3), o) for o in orders]
+    got = indexing.index_by_order(spark.createDataFrame(rows, f"{STREAM} string, o bigint").repartition(5), "o", bits=bits)
+    model = {}
+    for stream, order in sorted(rows, key=lambda r: r[1]):
+        model.setdefault(stream, []).append(order)
+    assert values(got, STREAM, "o", IDX) == sorted((s, o, i) for s, os in model.items() for i, o in enumerate(os))
+
+
+@pytest.mark.parametrize("bits", [0, 2, 18])
+def test_index_by_ordinal_files(spark, bits):
+    rng = random.Random(4)
+    rows, model = [], []
+    for stream in ("a", "b"):
+        idx = 0
+        for ordinal in sorted(rng.sample(range(60), 20)):
+            for position in range(rng.randrange(1, 6)):
+                rows.append((stream, ordinal, position))
+                model.append((stream, ordinal, position, idx))
+                idx += 1
+    rng.shuffle(rows)
+    frame = spark.createDataFrame(rows, f"{STREAM} string, f bigint, p bigint")
+    got = indexing.index_by_ordinal_files(frame, "f", "p", bits=bits)
+    assert values(got, STREAM, "f", "p", IDX) == sorted(model)
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_index_by_parquet_position(spark, broadcast_rows):
+    folder = tempfile.mkdtemp(prefix="eventloom-test-")
+    spark.range(0, 5000, numPartitions=7).repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{folder}/t")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = spark.read.parquet(f"{folder}/t")
+        got = indexing.index_by_parquet_position(rows, broadcast_rows=broadcast_rows)
+        assert got.where(F.col(IDX) != F.col("id")).count() == 0 and got.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_lines_are_numbered_per_file_however_files_are_cut(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    texts = {"a.log": [f"line {i} of a" for i in range(2000)], "b c.log": ["x"], "c.log": [f"{i}" * 9 for i in range(700)]}
+    for name, lines in texts.items():
+        (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = read_lines(spark, str(tmp_path / "in"), str(tmp_path / "staged")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r["source_path"].split("/")[-1].replace("%20", " "), r["line_number"], r["value"]) for r in got) == sorted(
+        (name, i, line) for name, lines in texts.items() for i, line in enumerate(lines)
+    )
+
+
+def test_event_numbers_start_at_one(spark):
+    assert spark.range(3).select(indexing.event_number(F.col("id")).alias("n")).agg(F.min("n"), F.max("n")).first() == (1, 3)
+
+
+FILES = [("a", i, 0, 0, "{}", 0, f) for i, f in enumerate(["x", "x", "y", "z", "z", "z"])] + [
+    ("b", i, 0, 0, "{}", 0, f) for i, f in enumerate(["x", "q", "x"])
+]
+
+
+def test_file_infos(spark):
+    e = events(spark, FILES)
+    infos = files.file_infos(e)
+    got = [tuple(r) for r in infos.select(STREAM, "file_name", "log_event_idx_start", "log_event_idx_end", "log_event_count", "is_contiguous").collect()]
+    assert got == [
+        ("a", "x", 0, 2, 2, True), ("a", "y", 2, 3, 1, True), ("a", "z", 3, 6, 3, True),
+        ("b", "x", 0, 3, 2, False), ("b", "q", 1, 2, 1, True)]
+    assert [r["file_name"] for r in files.file_names(e).collect()] == ["x", "y", "z", "x", "q"]
+    per_stream = infos.groupBy(STREAM).agg(F.sum("log_event_count").alias("n_events"))
+    assert values(per_stream, STREAM, "n_events") == values(files.event_counts(e), STREAM, "n_events")
+
+
+@pytest.mark.parametrize("bits", [0, 2, 18])
+@pytest.mark.parametrize("broadcast_ranges", [0, 10_000])
+def test_event_to_file(spark, bits, broadcast_ranges):
+    """Both joins agree, for files inside one chunk, across many, and with gaps between them."""
+    rng = random.Random(5)
+    rows, ranges, idx = [], [], 0
+    while idx < 400:
+        size = rng.choice([1, 1, 2, 7, 90])
+        if rng.random() < 0.8:
+            ranges.append(("a", f"f{idx}", idx, idx + size, size))
+        rows += [("a", i, 0, 0) for i in range(idx, idx + size)]
+        idx += size
+    rows += [("b", 0, 0, 0)]
+    infos = spark.createDataFrame(ranges, f"{STREAM} string, file_name string, log_event_idx_start bigint, log_event_idx_end bigint, n bigint")
+    got = files.attach_file(events(spark, rows), infos, bits, broadcast_ranges)
+    by_idx = {i: name for _, name, start, end, _ in ranges for i in range(start, end)}
+    found = {(r[STREAM], r[IDX]): r["file_name"] for r in got.collect()}
+    assert found == {(s, i): by_idx.get(i) if s == "a" else None for s, i, _, _ in rows}
+    assert set(got.columns) == set(events(spark, rows).columns) | {"file_name"}
+
+
+def test_files_of_loaded_events(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumns(
+        {STREAM: F.lit("all"), FILE: F.expr("concat('f', event_id div 100)")}
+    )
+    e = indexing.index_by_order(rows, "event_id", bits=5)
+    back = files.attach_file(e, files.file_infos(e), bits=6)
+    assert back.where(F.col(FILE) != F.col("file_name")).count() == 0

@@ -1,0 +1,69 @@
+import bisect
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from eventloom.operators import nearest
+from eventloom.schema import IDX, STREAM
+from tests.helpers import events, values
+
+
+def model(times, target):
+    if not times:
+        return None
+    return max(bisect.bisect_right(times, target) - 1, 0)
+
+
+def probes(spark, rows):
+    return spark.createDataFrame(rows, f"n int, {STREAM} string, target_ts bigint")
+
+
+def test_point_lookup(spark):
+    e = events(spark, [("a", i, ts, 0) for i, ts in enumerate([5, 7, 7, 9])])
+    for target, idx in {1: 0, 5: 0, 6: 0, 7: 2, 8: 2, 9: 3, 99: 3}.items():
+        assert values(nearest.nearest_event(e, target), STREAM, IDX) == [("a", idx)]
+    assert nearest.nearest_event(e.where("false"), 5).collect() == []
+
+
+def test_batch_lookup_edges(spark):
+    e = events(spark, [("a", i, ts, 0) for i, ts in enumerate([5, 7, 7, 9])] + [("b", 0, 100, 0)])
+    asked = [(0, "a", 1), (1, "a", 7), (2, "a", 99), (3, "b", 99), (4, "b", 100), (5, "none", 5), (6, "a", 7), (7, "a", None)]
+    got = nearest.nearest_events(e, probes(spark, asked))
+    assert values(got.where("n < 7"), "n", IDX) == [(0, 0), (1, 2), (2, 3), (3, 0), (4, 0), (5, None), (6, 2)]
+    assert got.where("n = 7").first()[IDX] is None
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(st.integers(-300, 300), max_size=60),
+    st.lists(st.integers(-2**40, 2**41), max_size=4),
+    st.lists(st.integers(-320, 320) | st.integers(-2**42, 2**42), min_size=1, max_size=40),
+    st.sampled_from([1, 4, 20]),
+    st.sampled_from([0, 1000]),
+)
+def test_lookups_against_a_model(spark, times, far, targets, bits, broadcast_rows):
+    """Ties, negative and far-apart times, any bucket width, with and without the broadcast."""
+    times = sorted(times + far + times[:1] * 20)
+    rows = [("hot", i, t, 0) for i, t in enumerate(times)] + [("b", 0, 3, 0)]
+    e = events(spark, rows).repartition(4)
+    asked = [(n, s, t) for n, t in enumerate(targets) for s in ("hot", "b")]
+    got = nearest.nearest_events(e, probes(spark, asked), bucket_bits=bits, broadcast_rows=broadcast_rows)
+    want = sorted((n, s, model(times if s == "hot" else [3], t)) for n, s, t in asked)
+    assert sorted((r["n"], r[STREAM], r[IDX]) for r in got.collect()) == sorted(want, key=lambda w: w[:2])
+    for target in targets[:3]:
+        got = dict(values(nearest.nearest_event(e, target), STREAM, IDX))
+        assert got.get("hot") == model(times, target) and got["b"] == 0
+
+
+def test_one_probe_equals_point_lookup(spark):
+    e = events(spark, [("a", i, (i // 3) * 2_000_000, 0) for i in range(40)])
+    for target in (-5, 0, 1_999_999, 2_000_000, 13_500_000, 10**12):
+        one = nearest.nearest_events(e, probes(spark, [(0, "a", target)])).first()[IDX]
+        assert one == nearest.nearest_event(e, target).first()[IDX]
+
+
+def test_index_beyond_the_packed_range_is_refused(spark):
+    e = events(spark, [("a", 1 << 43, 5, 0)])
+    with pytest.raises(Exception, match="43 bits"):
+        nearest.nearest_event(e, 9).collect()
