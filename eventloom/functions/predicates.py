@@ -79,9 +79,7 @@ class KvLeaf:
         else:
             on_integers = as_double
         on_fractions = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
-        return _settled(
-            ((kind == "BIGINT") & on_integers) | (F.coalesce(on_fractions, F.lit(False)) & as_double)
-        )
+        return _settled(F.when(kind == "BIGINT", on_integers).when(on_fractions, as_double))
 
 
 def kv(*parts: str, auto: bool = False) -> KvLeaf:

@@ -29,14 +29,22 @@ def carry_before(
     value: str,
     how: str,
     name: str,
+    *,
     span_bits: int = SPAN_BITS,
+    flat_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add to each row of a per-chunk summary the sum, or the last non-null value, of all earlier ones.
 
-    Two levels: inside spans of 2**span_bits chunks, and over one row per span, so neither window
-    sees more than a small part of a long stream's summary.
+    A summary counted to be small takes one window per key. A longer one takes two levels: inside
+    spans of 2**span_bits chunks, and over one row per span, so that neither window sees more than a
+    small part of a long stream's summary. `flat_rows` is the line between them.
     """
     keys = list(keys)
+    if small_enough(summary, flat_rows):
+        earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+        if how == "sum":
+            return summary.withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+        return summary.withColumn(name, F.last(value, ignorenulls=True).over(earlier))
     spanned = summary.withColumn("_span", F.shiftright(F.col(chunk), span_bits))
     inside = Window.partitionBy(*keys, "_span").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     across = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,7 +52,7 @@ def carry_before(
         per_span = spanned.groupBy(*keys, "_span").agg(F.sum(value).alias("_v"))
         here, earlier = F.sum(value).over(inside), F.sum("_v").over(across)
         total = F.coalesce(F.col("_inside"), F.lit(0)) + F.coalesce(F.col("_across"), F.lit(0))
-    elif how == "last":
+    else:
         per_span = spanned.where(F.col(value).isNotNull()).groupBy(*keys, "_span").agg(
             F.max_by(value, chunk).alias("_v")
         )
@@ -53,8 +61,6 @@ def carry_before(
         here = F.last(value, ignorenulls=True).over(inside)
         earlier = F.last("_v", ignorenulls=True).over(across)
         total = F.coalesce(F.col("_inside"), F.col("_across"))
-    else:
-        raise ValueError(f"unknown carry: {how}")
     spans = per_span.select(*keys, "_span", earlier.alias("_across"))
     return (
         spanned.withColumn("_inside", here)

@@ -11,10 +11,23 @@ from eventloom.functions.keypaths import string_at, type_at
 from eventloom.functions.levels import level_from_name
 from eventloom.operators.chunks import CHUNK_BITS, carry_before, chunk_of
 from eventloom.schema import AUTO, IDX, OFFSET, STREAM, TS, USER, ReaderOptions
+from eventloom.session import settle
+
+
+def _chunk_tails(events: DataFrame, value: str, bits: int) -> DataFrame:
+    """Per chunk: its number of events and its last event's value."""
+    tails = events.groupBy(STREAM, chunk_of(F.col(IDX), bits).alias("_chunk")).agg(
+        F.count("*").alias("_n"), F.max_by(value, IDX).alias("_tail")
+    )
+    return settle(tails, "chunk-tails")
 
 
 def _steps(
-    events: DataFrame, value: str, reports: Callable[[Column, Column], Column], bits: int
+    events: DataFrame,
+    value: str,
+    reports: Callable[[Column, Column], Column],
+    tails: DataFrame,
+    bits: int,
 ) -> DataFrame:
     """Events whose (previous, own) value pair is reported, with the previous value in "_prev".
 
@@ -23,11 +36,8 @@ def _steps(
     """
     narrow = events.select(STREAM, IDX, value, chunk_of(F.col(IDX), bits).alias("_chunk"))
     order = Window.partitionBy(STREAM, "_chunk").orderBy(IDX)
-    seen = narrow.withColumns(
-        {"_prev": F.lag(value).over(order), "_is_tail": F.lead(IDX).over(order).isNull()}
-    )
-    tails = seen.where("_is_tail").select(STREAM, "_chunk", F.col(value).alias("_tail"))
-    before = carry_before(tails, [STREAM], "_chunk", "_tail", "last", "_before").drop("_tail")
+    seen = narrow.withColumn("_prev", F.lag(value).over(order))
+    before = carry_before(tails, [STREAM], "_chunk", "_tail", "last", "_before").drop("_tail", "_n")
     own = F.col(value)
     return (
         seen.where(F.col("_prev").isNull() | reports(F.col("_prev"), own))
@@ -40,20 +50,21 @@ def _steps(
 
 def offset_changes(events: DataFrame, bits: int = CHUNK_BITS) -> DataFrame:
     """Events whose UTC offset differs from the one before them in their stream."""
-    return _steps(events, OFFSET, lambda prev, own: prev != own, bits).withColumnRenamed(
-        "_prev", "previous_utc_offset"
-    )
+    tails = _chunk_tails(events, OFFSET, bits)
+    changed = _steps(events, OFFSET, lambda prev, own: prev != own, tails, bits)
+    return changed.withColumnRenamed("_prev", "previous_utc_offset")
 
 
 def chronology_check(events: DataFrame, bits: int = CHUNK_BITS) -> DataFrame:
     """Per stream: how many events are earlier than their predecessor, and the first such index."""
-    backward = _steps(events, TS, lambda prev, own: own < prev, bits)
+    tails = _chunk_tails(events, TS, bits)
+    backward = _steps(events, TS, lambda prev, own: own < prev, tails, bits)
     found = backward.groupBy(STREAM).agg(
         F.count("*").alias("n_inversions"), F.min(IDX).alias("first_bad_idx")
     )
     return (
-        events.groupBy(STREAM)
-        .agg(F.count("*").alias("n_events"))
+        tails.groupBy(STREAM)
+        .agg(F.sum("_n").alias("n_events"))
         .join(found, STREAM, "left")
         .select(
             STREAM,
@@ -168,7 +179,7 @@ def schema_census(events: DataFrame, depth: int | None = None) -> DataFrame:
     nodes = events.select(F.inline(spaces)).where("v is not null").withColumn("path", no_parts)
     for _ in range(depth):
         # Leaves pass through: only objects open, and an empty object has nothing to open.
-        children = F.when(_kind(F.col("v")) == "OBJECT", F.col("v").try_cast("map<string,variant>"))
+        children = F.col("v").try_cast("map<string,variant>")
         opened = nodes.select("namespace", "path", "v", F.explode_outer(children).alias("_key", "_child"))
         is_leaf = F.col("_key").isNull()
         nodes = opened.select(

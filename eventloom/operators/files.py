@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.chunks import CHUNK_BITS, chunk_of, small_enough
 from eventloom.schema import FILE, IDX, STREAM
+from eventloom.session import settle
 
 BROADCAST_RANGES = 10_000
 
@@ -59,6 +60,7 @@ def attach_file(
         F.col("log_event_idx_start").alias("_start"),
         F.col("log_event_idx_end").alias("_end"),
     ).where(F.col("_end") > F.col("_start"))
+    ranges = settle(ranges, "file-ranges")
     cut = ranges.withColumn(
         "_chunk",
         F.explode(F.sequence(chunk_of(F.col("_start"), bits), chunk_of(F.col("_end") - 1, bits))),

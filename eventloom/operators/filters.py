@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.chunks import CHUNK_BITS, carry_before, chunk_of
 from eventloom.schema import IDX, LEVEL, STREAM, STRUCTURED, UNSTRUCTURED
+from eventloom.session import settle
 
 
 def filter_condition(
@@ -71,11 +72,14 @@ def match_offsets(
 
     One scan of the key columns and what the condition reads, combined to one row per chunk.
     """
-    counts = events.groupBy(STREAM, chunk_of(F.col(IDX), bits).alias("_chunk")).agg(
-        F.count_if(condition).alias("_n"), F.count("*").alias("_all")
+    counts = settle(
+        events.groupBy(STREAM, chunk_of(F.col(IDX), bits).alias("_chunk")).agg(
+            F.count_if(condition).alias("_n"), F.count("*").alias("_all")
+        ),
+        "match-counts",
     )
     before = carry_before(counts, [STREAM], "_chunk", "_n", "sum", "_before")
-    totals = before.groupBy(STREAM).agg(
+    totals = counts.groupBy(STREAM).agg(
         F.sum("_n").alias("_matches"), F.sum("_all").alias("_events")
     )
     if stream_type == STRUCTURED:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.chunks import BROADCAST_ROWS, CHUNK_BITS, broadcast_if_small, carry_before
 from eventloom.schema import IDX, STREAM
+from eventloom.session import settle
 
 
 def index_by_order(
@@ -17,7 +18,7 @@ def index_by_order(
     One shuffle of the rows, on (stream, order >> bits); the offsets come from a count per chunk.
     """
     cut = rows.withColumn("_chunk", F.shiftright(F.col(order), bits))
-    counts = cut.groupBy(stream, "_chunk").agg(F.count("*").alias("_n"))
+    counts = settle(cut.groupBy(stream, "_chunk").agg(F.count("*").alias("_n")), "chunk-counts")
     offsets = carry_before(counts, [stream], "_chunk", "_n", "sum", "_before").drop("_n")
     within = Window.partitionBy(stream, "_chunk").orderBy(order)
     return (
@@ -40,7 +41,7 @@ def index_by_ordinal_files(
 
     The rows are not shuffled if the offsets (one row per file) are small enough to broadcast.
     """
-    counts = rows.groupBy(stream, file_ordinal).agg(F.count("*").alias("_n"))
+    counts = settle(rows.groupBy(stream, file_ordinal).agg(F.count("*").alias("_n")), "file-counts")
     counts = counts.withColumn("_chunk", F.shiftright(F.col(file_ordinal), bits))
     per_chunk = counts.groupBy(stream, "_chunk").agg(F.sum("_n").alias("_n"))
     before = carry_before(per_chunk, [stream], "_chunk", "_n", "sum", "_before").drop("_n")
@@ -81,7 +82,9 @@ def index_by_parquet_position(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    counts = located.groupBy("_stream", "_path").agg(F.count("*").alias("_n"))
+    counts = settle(
+        located.groupBy("_stream", "_path").agg(F.count("*").alias("_n")), "file-counts"
+    )
     earlier = Window.partitionBy("_stream").orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_stream", "_path", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
@@ -108,8 +111,9 @@ def index_by_line(lines: DataFrame, staged_at: str, broadcast_rows: int = BROADC
         F.monotonically_increasing_id().alias("_at"),
     ).write.parquet(staged_at)
     staged = spark.read.parquet(staged_at)
-    blocks = staged.groupBy("_path", "_block").agg(
-        F.count("*").alias("_n"), F.min("_at").alias("_first")
+    blocks = settle(
+        staged.groupBy("_path", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first")),
+        "block-counts",
     )
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from eventloom.operators.chunks import BROADCAST_ROWS, carry_before, chunk_of, small_enough
 from eventloom.schema import IDX, STREAM, TS
+from eventloom.session import settle
 
 # Time is cut into buckets of 2**20 ms (17.5 minutes). Within a bucket, time (20 bits) and index (43
 # bits, 8.8e12 events per stream) fit one BIGINT that sorts like the pair, so "last event" is a plain
@@ -55,51 +56,54 @@ def nearest_events(
 
     Events with equal (stream, time) are reduced to their last index before anything is compared, and
     equal probes are answered once, so no repeated time makes a large group: a (stream, bucket) holds
-    at most 2**20 event times and 2**20 probe times. What lies before a bucket is carried over one row
+    at most 2**20 distinct times. What lies before a bucket is carried over one row
     per bucket. Where the probes touch few buckets, only those buckets' events are compared.
     """
     bucket = chunk_of(F.col(TS), bucket_bits)
-    narrow = events.select(STREAM, TS, IDX, bucket.alias("_bucket"))
-    ends = narrow.groupBy(STREAM, "_bucket").agg(
-        F.max(_packed(bucket_bits)).alias("_end"), F.min(IDX).alias("_min")
-    )
-    first = ends.groupBy(STREAM).agg(F.min("_min").alias("_first"))
+    happened = events.select(STREAM, TS, IDX, bucket.alias("_bucket"), F.lit(False).alias("_asked"))
     asked = (
         probes.where(F.col(target).isNotNull())
         .select(STREAM, F.col(target).cast("bigint").alias(TS))
-        .distinct()
-        .withColumn("_bucket", bucket)
+        .select(STREAM, TS, F.lit(None).cast("bigint").alias(IDX), bucket.alias("_bucket"), F.lit(True).alias("_asked"))
     )
-    asked_buckets = asked.select(STREAM, "_bucket").distinct()
 
-    # One row per bucket that holds events or probes, with the last index of all earlier buckets.
-    timeline = (
-        ends.select(STREAM, "_bucket", _index_of(F.col("_end")).alias("_idx"))
-        .unionByName(asked_buckets.withColumn("_idx", F.lit(None).cast("bigint")))
+    # One row per bucket that holds events or probes.
+    buckets = settle(
+        happened.unionByName(asked)
         .groupBy(STREAM, "_bucket")
-        .agg(F.max("_idx").alias("_idx"))
+        .agg(
+            _index_of(F.max(F.when(~F.col("_asked"), _packed(bucket_bits)))).alias("_end"),
+            F.min(IDX).alias("_min"),
+            F.bool_or("_asked").alias("_asked"),
+        ),
+        "time-buckets",
     )
+    first = buckets.groupBy(STREAM).agg(F.min("_min").alias("_first"))
     before = (
-        carry_before(timeline, [STREAM], "_bucket", "_idx", "last", "_before", span_bits=20)
+        carry_before(buckets, [STREAM], "_bucket", "_end", "last", "_before", span_bits=20)
+        .where("_asked")
         .join(first, STREAM)
         .select(STREAM, "_bucket", F.coalesce("_before", "_first").alias("_before"))
     )
-
+    asked_buckets = buckets.where("_asked").select(STREAM, "_bucket")
     if small_enough(asked_buckets, broadcast_rows):
-        narrow = narrow.join(F.broadcast(asked_buckets), [STREAM, "_bucket"], "left_semi")
-    points = narrow.groupBy(STREAM, "_bucket", TS).agg(F.max(IDX).alias("_idx"))
-    merged = points.select(STREAM, "_bucket", TS, "_idx", F.lit(0).alias("_asks")).unionByName(
-        asked.select(STREAM, "_bucket", TS, F.lit(None).cast("bigint").alias("_idx"), F.lit(1).alias("_asks"))
+        happened = happened.join(F.broadcast(asked_buckets), [STREAM, "_bucket"], "left_semi")
+
+    # One row per time of an event or probe, then the last event up to each time in its bucket.
+    times = (
+        happened.unionByName(asked)
+        .groupBy(STREAM, "_bucket", TS)
+        .agg(F.max(IDX).alias("_idx"), F.bool_or("_asked").alias("_asked"))
     )
     up_to = (
         Window.partitionBy(STREAM, "_bucket")
-        .orderBy(TS, "_asks")
+        .orderBy(TS)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     answers = (
-        merged.withColumn("_idx", F.last("_idx", ignorenulls=True).over(up_to))
-        .where(F.col("_asks") == 1)
-        .join(before, [STREAM, "_bucket"], "left")
+        times.withColumn("_idx", F.last("_idx", ignorenulls=True).over(up_to))
+        .where("_asked")
+        .join(before, [STREAM, "_bucket"])
         .select(STREAM, F.col(TS).alias(target), F.coalesce("_idx", "_before").alias(IDX))
     )
     return probes.join(answers, [STREAM, target], "left")

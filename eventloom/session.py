@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -18,6 +18,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -36,7 +37,13 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make DataFrame.checkpoint() usable without overriding the cluster's setting."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def settle(frame: DataFrame, label: str) -> DataFrame:
+    """Compute a small summary once, into the shared folder, and go on from the written copy.
+
+    Whatever uses a summary several times would otherwise scan the events again for each use. The
+    copy also has a known size, and stays the same when executors are lost.
+    """
+    spark = frame.sparkSession
+    path = fresh_dir(spark, label)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

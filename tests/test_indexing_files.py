@@ -11,8 +11,9 @@ from eventloom.sources.events import read_lines
 from tests.helpers import SF_SMALL, events, values
 
 
+@pytest.mark.parametrize("flat_rows", [0, 1000])
 @pytest.mark.parametrize("span_bits", [0, 2, 10])
-def test_carry_over_chunks(spark, span_bits):
+def test_carry_over_chunks(spark, span_bits, flat_rows):
     rng = random.Random(1)
     rows, model = [], []
     for stream in ("a", "b"):
@@ -23,9 +24,9 @@ def test_carry_over_chunks(spark, span_bits):
             model.append((stream, chunk, total, last))
             total, last = total + (value or 0), value if value is not None else last
     summary = spark.createDataFrame(rows, "s string, c bigint, v bigint")
-    sums = carry_before(summary, ["s"], "c", "v", "sum", "out", span_bits)
+    sums = carry_before(summary, ["s"], "c", "v", "sum", "out", span_bits=span_bits, flat_rows=flat_rows)
     assert values(sums, "s", "c", "out") == [m[:3] for m in model]
-    lasts = carry_before(summary, ["s"], "c", "v", "last", "out", span_bits)
+    lasts = carry_before(summary, ["s"], "c", "v", "last", "out", span_bits=span_bits, flat_rows=flat_rows)
     got = {(r["s"], r["c"]): r["out"] for r in lasts.collect()}
     assert got == {m[:2]: m[3] for m in model}
 
