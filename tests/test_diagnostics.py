@@ -88,11 +88,13 @@ def test_schema_census_counts_every_leaf(spark):
     assert {(r["namespace"], tuple(r["path"]), r["type"]): r["n_events"] for r in got.collect()} == model
 
 
-def test_schema_census_never_answers_short(spark):
-    e = kv_events(spark, [("a", {"x": {"y": {"z": 1}}})])
-    with pytest.raises(Exception, match="deeper than depth"):
-        diagnostics.schema_census(e, depth=2).collect()
-    assert diagnostics.schema_census(e, depth=9).count() == 2
+def test_schema_census_of_empty_and_missing_namespaces(spark):
+    e = kv_events(spark, [("a", {}), ("a", {"x": {}}), ("a", {"x": []})])
+    e = e.withColumn(AUTO, F.when(F.col(IDX) == 0, F.col(AUTO)))
+    got = diagnostics.schema_census(e).collect()
+    assert sorted((r["namespace"], *r["path"], r["type"], r["n_events"]) for r in got) == [
+        ("auto", "host", "STRING", 1), ("user", "x", "ARRAY", 1), ("user", "x", "OBJECT", 1)]
+    assert diagnostics.schema_census(e.where("false")).count() == 0
 
 
 def test_logtype_census(spark):
