@@ -70,6 +70,11 @@ def carry_before(
     )
 
 
+def required(key: Column, what: str) -> Column:
+    """A key that joins rely on; a null one is an error rather than a lost row."""
+    return F.when(key.isNotNull(), key).otherwise(F.raise_error(F.lit(f"{what} is null")))
+
+
 def small_enough(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether a frame of narrow rows is proven small; reads at most max_rows + 1 of its rows."""
     return frame.limit(max_rows + 1).count() <= max_rows

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.operators.chunks import BROADCAST_ROWS, CHUNK_BITS, broadcast_if_small, carry_before
+from eventloom.operators.chunks import (
+    BROADCAST_ROWS,
+    CHUNK_BITS,
+    broadcast_if_small,
+    carry_before,
+    required,
+)
 from eventloom.schema import IDX, STREAM
 from eventloom.session import settle
 
@@ -17,7 +23,9 @@ def index_by_order(
 
     One shuffle of the rows, on (stream, order >> bits); the offsets come from a count per chunk.
     """
-    cut = rows.withColumn("_chunk", F.shiftright(F.col(order), bits))
+    cut = rows.withColumn(stream, required(F.col(stream), stream)).withColumn(
+        "_chunk", F.shiftright(required(F.col(order), order), bits)
+    )
     counts = settle(cut.groupBy(stream, "_chunk").agg(F.count("*").alias("_n")), "chunk-counts")
     offsets = carry_before(counts, [stream], "_chunk", "_n", "sum", "_before").drop("_n")
     within = Window.partitionBy(stream, "_chunk").orderBy(order)
@@ -41,6 +49,9 @@ def index_by_ordinal_files(
 
     The rows are not shuffled if the offsets (one row per file) are small enough to broadcast.
     """
+    rows = rows.withColumns(
+        {stream: required(F.col(stream), stream), file_ordinal: required(F.col(file_ordinal), file_ordinal)}
+    )
     counts = settle(rows.groupBy(stream, file_ordinal).agg(F.count("*").alias("_n")), "file-counts")
     counts = counts.withColumn("_chunk", F.shiftright(F.col(file_ordinal), bits))
     per_chunk = counts.groupBy(stream, "_chunk").agg(F.sum("_n").alias("_n"))
@@ -78,7 +89,7 @@ def index_by_parquet_position(
     key = F.lit("all") if stream is None else stream
     located = rows.select(
         "*",
-        key.cast("string").alias("_stream"),
+        required(key.cast("string"), "stream").alias("_stream"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.row_index").alias("_row"),
     )

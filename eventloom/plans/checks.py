@@ -22,6 +22,7 @@ from eventloom.schema import (
     MESSAGE,
     OFFSET,
     STREAM,
+    STRUCTURED,
     TS,
     UNSTRUCTURED,
     KeyPath,
@@ -29,7 +30,7 @@ from eventloom.schema import (
 )
 from eventloom.session import fresh_dir
 from eventloom.sources import admission, blobs, tolerant
-from eventloom.sources.events import structured_events
+from eventloom.sources.events import read_structured_lines, structured_events
 from eventloom.streaming.normalise import append_to, normalise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,15 @@ def structured_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(f"WITH {_ONE} SELECT log_level, {_RENDERED} AS message, timestamp, utc_offset FROM one")
+def structured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered to text files, read back as streams of lines and derived anew."""
+    folder = fresh_dir(spark, "rendered")
+    paging.decode(dt.one_stream(spark, sf_dir)).select("message").write.text(folder)
+    events = read_structured_lines(spark, folder, dt.OPTIONS)
+    return paging.decode(events).select(LEVEL, MESSAGE, TS, OFFSET)
+
+
 def _cut_off_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream per 1000 events; the last record of each cut off, some broken in the middle too."""
     e = F.col("event_id")
@@ -252,6 +262,24 @@ def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admission.metadata_entries(_classified(spark, sf_dir))
 
 
+@check(
+    """SELECT 'u' || CAST(user_id AS VARCHAR) AS stream_id, event_id, 'structured' AS stream_type FROM events
+        WHERE user_id % 8 = 0
+    UNION ALL SELECT 'u' || CAST(user_id AS VARCHAR), event_id, 'unstructured' FROM events WHERE user_id % 8 = 1"""
+)
+def admitted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the streams that can be opened, by what they are opened as."""
+    classified = _classified(spark, sf_dir)
+    rows = dt.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("u"), F.col("user_id")).alias(STREAM), "event_id"
+    )
+    opened = [
+        admission.admitted(rows, classified, kind).withColumn("stream_type", F.lit(kind))
+        for kind in (STRUCTURED, UNSTRUCTURED)
+    ]
+    return opened[0].unionByName(opened[1])
+
+
 _MAGIC_CASE = "doc_id % 4"
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.operators.chunks import broadcast_if_small
 from eventloom.schema import STREAM, STRUCTURED, UNSTRUCTURED
 
 METADATA_CORRUPTED = "metadata_corrupted"
@@ -51,6 +52,25 @@ def classify_streams(
     )
 
 
+class StreamRefusedError(ValueError):
+    """A stream that cannot be opened."""
+
+
+def admitted(
+    rows: DataFrame, classified: DataFrame, stream_type: str, strict: bool = False
+) -> DataFrame:
+    """The rows of streams admitted as one type. strict=True raises if any stream was refused.
+
+    The list of stream names is broadcast if it is counted to be small; the rows are then not moved.
+    """
+    if strict:
+        refused = classified.where(F.col("stream_type").isNull()).limit(1).collect()
+        if refused:
+            raise StreamRefusedError(f"stream {refused[0][STREAM]!r}: {refused[0]['admission']}")
+    names = classified.where(F.col("stream_type") == stream_type).select(STREAM)
+    return rows.join(broadcast_if_small(names), STREAM, "left_semi")
+
+
 def metadata_entries(streams: DataFrame, metadata: str = "metadata") -> DataFrame:
     """(stream_id, key, value as JSON text): the top-level entries of each stream's metadata."""
     entries = F.explode(F.col(metadata).try_cast("map<string,variant>"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.functions.derive import with_structured_fields, with_unstructured_fields
+from eventloom.operators.chunks import required
 from eventloom.operators.indexing import index_by_line
 from eventloom.operators.templates import with_template
 from eventloom.schema import (
@@ -51,8 +52,8 @@ def structured_events(
     """A structured event table; a namespace that is not given is an empty object."""
     empty = F.parse_json(F.lit("{}"))
     events = rows.select(
-        stream.cast("string").alias(STREAM),
-        idx.cast("bigint").alias(IDX),
+        required(stream.cast("string"), STREAM).alias(STREAM),
+        required(idx.cast("bigint"), IDX).alias(IDX),
         (F.lit(None) if source_file is None else source_file).cast("string").alias(FILE),
         (empty if auto is None else as_variant(rows, auto)).alias(AUTO),
         (empty if user is None else as_variant(rows, user)).alias(USER),
@@ -72,8 +73,8 @@ def unstructured_events(
 ) -> DataFrame:
     """An unstructured event table: each message as template and variables, and its own time."""
     events = rows.select(
-        stream.cast("string").alias(STREAM),
-        idx.cast("bigint").alias(IDX),
+        required(stream.cast("string"), STREAM).alias(STREAM),
+        required(idx.cast("bigint"), IDX).alias(IDX),
         (F.lit(None) if source_file is None else source_file).cast("string").alias(FILE),
         message.alias(MESSAGE),
         timestamp.alias("_ts"),

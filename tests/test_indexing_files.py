@@ -43,6 +43,14 @@ def test_index_by_order(spark, bits):
     assert values(got, STREAM, "o", IDX) == sorted((s, o, i) for s, os in model.items() for i, o in enumerate(os))
 
 
+def test_no_row_is_lost_to_a_null_key(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", None)], f"{STREAM} string, o bigint")
+    with pytest.raises(Exception, match="o is null"):
+        indexing.index_by_order(rows, "o").collect()
+    with pytest.raises(Exception, match="is null"):
+        indexing.index_by_order(rows.withColumn(STREAM, F.lit(None).cast("string")), "o").collect()
+
+
 @pytest.mark.parametrize("bits", [0, 2, 18])
 def test_index_by_ordinal_files(spark, bits):
     rng = random.Random(4)

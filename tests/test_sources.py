@@ -22,6 +22,14 @@ def test_namespaces_from_text_struct_map_and_variant(spark):
     assert paging.decode(bare).first()["message"] == '{"auto-generated":{},"user-generated":{}}'
 
 
+def test_rows_without_a_stream_or_position_are_refused(spark):
+    rows = spark.createDataFrame([(None, 0), ("s", None)], "s string, i bigint")
+    for column in ("s", "i"):
+        e = structured_events(rows.where(F.col(column).isNull()), OPTIONS, stream=F.col("s"), idx=F.col("i"))
+        with pytest.raises(Exception, match="is null"):
+            e.collect()
+
+
 def test_unstructured_events(spark):
     rows = spark.createDataFrame([(0, " ERROR at 5", 7, -90), (1, "x", 8, 5400)], "i bigint, m string, t bigint, o bigint")
     e = unstructured_events(
@@ -85,6 +93,13 @@ def test_admission_order_of_checks(spark):
     )
     assert {r[STREAM]: r["admission"] for r in got.collect()} == {k: v[2] for k, v in rows.items()}
     assert {r[STREAM]: r["stream_type"] for r in got.collect() if r["stream_type"]} == {"ok": "structured", "old": "unstructured"}
+    named = spark.createDataFrame([(k, 1) for k in rows], f"{STREAM} string, n int")
+    assert values(admission.admitted(named, got, "structured"), STREAM) == [("ok",)]
+    assert values(admission.admitted(named, got, "unstructured"), STREAM) == [("old",)]
+    with pytest.raises(admission.StreamRefusedError):
+        admission.admitted(named, got, "structured", strict=True)
+    fine = got.where(F.col(STREAM).isin("ok", "old"))
+    assert admission.admitted(named, fine, "structured", strict=True).count() == 1
     entries = admission.metadata_entries(got.where(F.col(STREAM).isin("ok", "list")))
     assert values(entries, STREAM, "key", "value") == [("ok", "V", '"1.0"'), ("ok", "x", '[1,{"y":null}]')]
 

@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 from eventloom import kv
 from eventloom.operators import filters, paging
 from eventloom.plans import driver_tables as dt
+from eventloom.schema import UNSTRUCTURED
+from eventloom.sources.events import unstructured_events
 from eventloom.streaming.normalise import append_to, normalise
 from tests.helpers import SF_SMALL
 
@@ -31,3 +33,26 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     second.write.mode("append").parquet(source)
     assert drain() == batch(table)
     assert drain() == batch(table)
+
+
+def test_unstructured_stream_equals_batch(spark, tmp_path):
+    table = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+
+    def lines(rows):
+        return unstructured_events(
+            rows,
+            stream=F.lit("docs"),
+            idx=F.col("doc_id"),
+            message=F.col("text"),
+            timestamp=F.lit(0),
+            utc_offset_seconds=F.lit(-90),
+        )
+
+    table.repartition(3).write.parquet(str(tmp_path / "in"))
+    arriving = spark.readStream.schema(table.schema).parquet(str(tmp_path / "in"))
+    events = normalise(arriving, lines, stream_type=UNSTRUCTURED)
+    out = str(tmp_path / "out")
+    append_to(paging.decode(events, UNSTRUCTURED), out, str(tmp_path / "progress")).awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert got == sorted(tuple(r) for r in paging.decode(lines(table), UNSTRUCTURED).collect())
+    assert {r[3] for r in got} == {r["text"] for r in table.collect()}
