@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.text import render_structured, render_unstructured
-from eventloom.operators.chunks import CHUNK_BITS, chunk_of
+from eventloom.operators.chunks import CHUNK_BITS, broadcast_if_small, chunk_of
 from eventloom.operators.filters import match_offsets, number_hits
 from eventloom.operators.indexing import event_number
 from eventloom.schema import IDX, LEVEL, LOGTYPE, OFFSET, STREAM, STRUCTURED, TS, VARS
+from eventloom.session import settle
 
 PAGE_CHUNKS = 10_000
 
@@ -70,8 +71,9 @@ def page_filtered(
     """Matches [begin, end) of each stream's filtered list, with their whole-stream numbers.
 
     No page where the filter is not active (see filter_summary) or the list is too short. The first
-    pass counts matches per chunk of positions, reading only what the condition needs; the page is
-    then read from the few chunks it falls into, by an index range the scan can skip with.
+    pass counts matches per chunk of positions, reading only what the condition needs; the page's keys
+    are then numbered in the few chunks it falls into. Whole events are read last, for those keys
+    only, by an index range the scan can skip with, and are never shuffled.
     """
     empty = decode(events.where(F.lit(False)), stream_type)
     if condition is None or begin < 0 or begin > end:
@@ -93,15 +95,20 @@ def page_filtered(
     found = wanted.limit(PAGE_CHUNKS + 1).collect()
     if not found:
         return empty
-    rows = events.where(condition)
+    hits = events.where(condition).select(STREAM, IDX)
     if len(found) <= PAGE_CHUNKS:
         wanted = F.broadcast(events.sparkSession.createDataFrame(found, wanted.schema))
         low = min(r["_chunk"] for r in found) << bits
         high = (max(r["_chunk"] for r in found) + 1) << bits
-        rows = rows.where((F.col(IDX) >= low) & (F.col(IDX) < high))
-    hits = rows.withColumn("_chunk", chunk_of(F.col(IDX), bits)).join(
+        hits = hits.where((F.col(IDX) >= low) & (F.col(IDX) < high))
+    hits = hits.withColumn("_chunk", chunk_of(F.col(IDX), bits)).join(
         wanted.select(STREAM, "_chunk"), [STREAM, "_chunk"], "left_semi"
     )
-    numbered = number_hits(hits, wanted)
     inside = (F.col("filtered_idx") >= begin) & (F.col("filtered_idx") < end)
-    return decode(numbered.where(inside), stream_type).orderBy(STREAM, "log_event_num")
+    keys = settle(number_hits(hits, wanted).where(inside).select(STREAM, IDX), "page-keys")
+    span = keys.agg(F.min(IDX).alias("low"), F.max(IDX).alias("high")).first()
+    if span["low"] is None:
+        return empty
+    rows = events.where((F.col(IDX) >= span["low"]) & (F.col(IDX) <= span["high"]))
+    rows = rows.join(broadcast_if_small(keys), [STREAM, IDX], "left_semi")
+    return decode(rows, stream_type).orderBy(STREAM, "log_event_num")
