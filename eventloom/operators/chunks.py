@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 CHUNK_BITS = 18
 SPAN_BITS = 10
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def chunk_of(position: Column, bits: int = CHUNK_BITS) -> Column:
@@ -76,8 +77,11 @@ def required(key: Column, what: str) -> Column:
 
 
 def small_enough(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame of narrow rows is proven small; reads at most max_rows + 1 of its rows."""
-    return frame.limit(max_rows + 1).count() <= max_rows
+    """Whether a frame is proven small, in rows and in bytes of text; looks at max_rows + 1 rows."""
+    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in frame.dtypes if kind == "string"]
+    size = F.sum(sum(text, F.lit(0)))
+    seen = frame.limit(max_rows + 1).agg(F.count("*").alias("rows"), size.alias("bytes")).first()
+    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def broadcast_if_small(frame: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -25,13 +25,22 @@ def read_heads(spark: SparkSession, path: str, n_bytes: int = len(ARCHIVE_MAGIC)
     each. The built-in binary source would load whole files for the content column.
     """
 
+    # Everything the tasks need is inside, so executors need pyarrow but not this package.
+    def open_file(name: str) -> pa.NativeFile:
+        scheme, _, rest = name.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+        filesystem, inside = fs.FileSystem.from_uri(quote(name, safe=":/@"))
+        return filesystem.open_input_file(inside)
+
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_head(p, n_bytes) for p in batch.column("path").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("path"), batch.column("length"), pa.array(found, pa.binary())],
-                ["path", "length", "head"],
-            )
+            found = []
+            for name in batch.column("path").to_pylist():
+                with open_file(name) as file:
+                    found.append(file.read(n_bytes))
+            columns = [batch.column("path"), batch.column("length"), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["path", "length", "head"])
 
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -43,12 +52,3 @@ def classify_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, is_archive) for the files under a path; Spark's listing leaves out empty files."""
     return read_heads(spark, path).select("path", "length", is_archive(F.col("head")).alias("is_archive"))
 
-
-def _head(path: str, n_bytes: int) -> bytes:
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        filesystem, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    else:
-        filesystem, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
-    with filesystem.open_input_file(name) as file:
-        return file.read(n_bytes)

@@ -65,6 +65,33 @@ def test_no_window_over_a_whole_stream_of_events(spark, tmp_path):
         assert "_chunk" in spec or "_span" in spec
 
 
+def test_hot_probe_times_can_be_split(spark, tmp_path):
+    """The join back to the probes is a shuffle join whose hot partition adaptive execution splits."""
+    e = stored(spark, tmp_path)
+    hot = spark.range(400_000, numPartitions=8).select(
+        F.lit("all").alias(STREAM),
+        F.when(F.col("id") % 3 == 0, 1704500000000).otherwise(F.col("id") + 1704067200000).alias("target_ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        answered = nearest.nearest_events(e, hot)
+        assert answered.collect() and "skew=true" in plan(answered)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_no_cartesian_products(spark, tmp_path):
     e = stored(spark, tmp_path)
     probes = e.select(STREAM, F.col(TS).alias("target_ts"))
