@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from eventloom.operators import files, filters, nearest, paging
-from eventloom.schema import STREAM, STRUCTURED
+from eventloom.schema import STRUCTURED
+from eventloom.sources.store import of_stream
 
 
 class LogTable:
@@ -22,7 +22,7 @@ class LogTable:
         self._condition = condition
 
     def only(self, stream_id: str) -> LogTable:
-        return LogTable(self.events.where(F.col(STREAM) == stream_id), self.stream_type, self._condition)
+        return LogTable(of_stream(self.events, stream_id), self.stream_type, self._condition)
 
     def event_counts(self) -> DataFrame:
         return files.event_counts(self.events)

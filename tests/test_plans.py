@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from eventloom import kv
 from eventloom.operators import files, filters, nearest, paging
 from eventloom.plans import driver_tables as dt
+from eventloom.plans.log_table import LogTable
 from eventloom.schema import AUTO, IDX, STREAM, TS, USER
-from tests.helpers import SF_SMALL
+from eventloom.sources.store import open_events, store_events
+from tests.helpers import SF_SMALL, values
 
 
 def plan(frame):
@@ -65,6 +67,18 @@ def test_no_window_over_a_whole_stream_of_events(spark, tmp_path):
         assert "_chunk" in spec or "_span" in spec
 
 
+def test_one_stream_reads_one_folder(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    store_events(dt.four_streams(spark, SF_SMALL), path)
+    stored_events = open_events(spark, path)
+    one = LogTable(stored_events).only("s2").events
+    scan = re.search(r"PartitionFilters: \[([^\]]*)\]", plan(one)).group(1)
+    assert "stream_bucket" in scan
+    back = one.select(dt.four_streams(spark, SF_SMALL).columns)
+    assert values(back, IDX, TS) == values(dt.four_streams(spark, SF_SMALL).where("stream_id = 's2'"), IDX, TS)
+    assert one.select(F.input_file_name()).distinct().count() == 1
+
+
 def test_hot_probe_times_can_be_split(spark, tmp_path):
     """The join back to the probes is a shuffle join whose hot partition adaptive execution splits."""
     e = stored(spark, tmp_path)
