@@ -80,7 +80,8 @@ def missing_keys(events: DataFrame, options: ReaderOptions) -> DataFrame:
     """(stream, option, namespace, key path) where no event of the stream has that key and type."""
     named = options.items()
     if not named:
-        return events.select(STREAM, *[F.lit("").alias(c) for c in ("option", "namespace", "key_path")]).where(F.lit(False))
+        no_text = [F.lit("").alias(c) for c in ("option", "namespace", "key_path")]
+        return events.select(STREAM, *no_text).where(F.lit(False))
     seen = [
         F.bool_or(F.coalesce(type_at(path) == kind, F.lit(False))).alias(f"_{name}")
         for name, path, kind in named
@@ -131,8 +132,9 @@ def protocol_errors(events: DataFrame, options: ReaderOptions) -> DataFrame:
                 )
             )
     if not rows:
-        blank = events.select(STREAM, F.lit("").alias("option"), F.lit("").alias("reason"), F.lit(0).cast("bigint").alias("n_events"))
-        return blank.where(F.lit(False))
+        no_text = [F.lit("").alias(c) for c in ("option", "reason")]
+        no_count = F.lit(0).cast("bigint").alias("n_events")
+        return events.select(STREAM, *no_text, no_count).where(F.lit(False))
     return (
         events.groupBy(STREAM)
         .agg(*counts)

@@ -77,7 +77,11 @@ def attach_file(
         return e.join(r, inside, "left").select("e.*", "r.file_name").drop("_chunk")
     start_in_chunk = F.greatest(F.col("_start"), F.shiftleft(F.col("_chunk"), bits))
     starts = cut.select(
-        STREAM, "_chunk", start_in_chunk.alias(IDX), F.struct("_end", "file_name").alias("_range"), F.lit(0).alias("_is_event")
+        STREAM,
+        "_chunk",
+        start_in_chunk.alias(IDX),
+        F.struct("_end", "file_name").alias("_range"),
+        F.lit(0).alias("_is_event"),
     )
     merged = located.withColumn("_is_event", F.lit(1)).unionByName(starts, allowMissingColumns=True)
     up_to = (

@@ -16,7 +16,7 @@ PAGE_CHUNKS = 10_000
 
 
 def decode(events: DataFrame, stream_type: str = STRUCTURED) -> DataFrame:
-    """Events as result rows: number, level, rendered message, timestamp, offset."""
+    """Events as result rows: number, level, rendered message (valid UTF-8), timestamp, offset."""
     if stream_type == STRUCTURED:
         message = render_structured()
     else:
@@ -25,7 +25,7 @@ def decode(events: DataFrame, stream_type: str = STRUCTURED) -> DataFrame:
         STREAM,
         event_number(F.col(IDX)).alias("log_event_num"),
         LEVEL,
-        message.alias("message"),
+        F.make_valid_utf8(message).alias("message"),
         TS,
         OFFSET,
     )

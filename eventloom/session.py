@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -24,12 +25,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only when the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="eventloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    """The cluster's shared folder; a temporary one only when the session names none, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or _temporary_dir()).rstrip("/")
+
+
+@functools.cache
+def _temporary_dir() -> str:
+    return tempfile.mkdtemp(prefix="eventloom-")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

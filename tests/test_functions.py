@@ -32,7 +32,7 @@ def test_dotted_key_is_one_part(spark):
     assert column(frame, integer_at(KeyPath(False, ("a", "b")))) == [2]
 
 
-@pytest.mark.parametrize("key", ["it's", 'say "x"', "both ' and \"", "a]b", "", "$", "é", "x y", "0"])
+@pytest.mark.parametrize("key", ["it's", 'say "x"', "both ' and \"", "a]b", "", "$", "é", "x y", "0", "x']['y", 'x"]["y', "a[0]"])
 def test_any_key_name_resolves(spark, key):
     import json
 
@@ -120,7 +120,7 @@ def test_templates(spark):
     assert column(frame, variables_of(F.col("m"))) == [["8", "10.0.0.1", "80"], [], ["a1"], [], None, None]
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.text(alphabet="ab1 .-=\né\x11一", max_size=30), min_size=1, max_size=30))
 def test_rendering_undoes_templates(spark, messages):
     frame = spark.createDataFrame(list(enumerate(messages)), "i int, m string")
@@ -139,7 +139,7 @@ def test_long_runs_without_digits_stay_fast(spark):
     assert column(frame, variables_of(F.col("m"))) == [[]]
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=12, deadline=None)
 @given(st.lists(st.integers(-(2**62), 2**62), min_size=1, max_size=20))
 def test_minutes_cut_toward_zero(spark, seconds):
     frame = spark.createDataFrame(list(enumerate(seconds)), "i int, s bigint")

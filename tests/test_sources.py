@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom import KeyPath, ReaderOptions, kv
-from eventloom.operators import filters, paging
+from eventloom.operators import paging
 from eventloom.schema import ARCHIVE_MAGIC, IDX, LEVEL, OFFSET, STREAM, TS, UNSTRUCTURED
 from eventloom.sources import admission, blobs, tolerant
 from eventloom.sources.events import read_structured_lines, structured_events, unstructured_events
