@@ -99,6 +99,13 @@ def filtered_index_map(
     the key columns of matching events are shuffled.
     """
     before, totals = match_offsets(events, condition, stream_type, bits)
+    return index_map(events, condition, before, totals, bits)
+
+
+def index_map(
+    events: DataFrame, condition: Column, before: DataFrame, totals: DataFrame, bits: int = CHUNK_BITS
+) -> DataFrame:
+    """The map, from what match_offsets has already counted."""
     hits = events.where(condition).select(STREAM, IDX, chunk_of(F.col(IDX), bits).alias("_chunk"))
     return number_hits(hits, before.join(totals, STREAM, "left_semi")).select(
         STREAM, "filtered_idx", IDX

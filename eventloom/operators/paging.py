@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.text import render_structured, render_unstructured
-from eventloom.operators.chunks import CHUNK_BITS, broadcast_if_small, chunk_of
+from eventloom.operators.chunks import CHUNK_BITS, chunk_of
 from eventloom.operators.filters import match_offsets, number_hits
 from eventloom.operators.indexing import event_number
 from eventloom.schema import IDX, LEVEL, LOGTYPE, OFFSET, STREAM, STRUCTURED, TS, VARS
@@ -73,7 +73,7 @@ def page_filtered(
     No page where the filter is not active (see filter_summary) or the list is too short. The first
     pass counts matches per chunk of positions, reading only what the condition needs; the page's keys
     are then numbered in the few chunks it falls into. Whole events are read last, for those keys
-    only, by an index range the scan can skip with, and are never shuffled.
+    only, by an index range the scan can skip with, and are not shuffled unless the page is huge.
     """
     empty = decode(events.where(F.lit(False)), stream_type)
     if condition is None or begin < 0 or begin > end:
@@ -110,5 +110,6 @@ def page_filtered(
     if span["low"] is None:
         return empty
     rows = events.where((F.col(IDX) >= span["low"]) & (F.col(IDX) <= span["high"]))
-    rows = rows.join(broadcast_if_small(keys), [STREAM, IDX], "left_semi")
+    # The keys' size is known from their files, so Spark itself decides whether to broadcast them.
+    rows = rows.join(keys, [STREAM, IDX], "left_semi")
     return decode(rows, stream_type).orderBy(STREAM, "log_event_num")

@@ -48,9 +48,12 @@ class LogTable:
 
     def filtered_index_map(self) -> DataFrame | None:
         """Null without an active filter in any stream."""
-        if self._condition is None or not self.filter_summary().where("is_active").limit(1).count():
+        if self._condition is None:
             return None
-        return filters.filtered_index_map(self.events, self._condition, self.stream_type)
+        before, totals = filters.match_offsets(self.events, self._condition, self.stream_type)
+        if self.stream_type == STRUCTURED and not totals.limit(1).count():
+            return None
+        return filters.index_map(self.events, self._condition, before, totals)
 
     def page(self, begin: int, end: int, use_filter: bool = False, strict: bool = False) -> DataFrame:
         if use_filter:

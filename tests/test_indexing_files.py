@@ -82,6 +82,17 @@ def test_index_by_parquet_position(spark, broadcast_rows):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_index_by_parquet_position_per_stream(spark, tmp_path, broadcast_rows):
+    """A stream per folder: each counts from 0 over its own files."""
+    for stream, start, size in (("a", 0, 500), ("b", 1000, 70)):
+        rows = spark.range(start, start + size, numPartitions=3)
+        rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / f"s={stream}"))
+    rows = spark.read.parquet(str(tmp_path))
+    got = indexing.index_by_parquet_position(rows, stream=F.col("s"), broadcast_rows=broadcast_rows)
+    assert values(got, "s", "id", IDX) == [("a", i, i) for i in range(500)] + [("b", 1000 + i, i) for i in range(70)]
+
+
 def test_lines_are_numbered_per_file_however_files_are_cut(spark, tmp_path):
     (tmp_path / "in").mkdir()
     texts = {"a.log": [f"line {i} of a" for i in range(2000)], "b c.log": ["x"], "c.log": [f"{i}" * 9 for i in range(700)]}
