@@ -28,12 +28,11 @@ def classify_streams(
     Checked in this order: encoding, metadata, version. `supported` versions are structured streams,
     `backward_compatible` ones unstructured, anything else is unsupported.
     """
-    path = f"$['{version_key}']"
     parsed = streams.withColumns(
         {"metadata": F.try_parse_json(metadata_json), "_four_byte": four_byte}
     )
-    found = F.try_variant_get("metadata", path, "variant")
-    version = F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get("metadata", path, "string"))
+    found = F.element_at(F.col("metadata").try_cast("map<string,variant>"), version_key)
+    version = F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(found, "$", "string"))
     admission = (
         F.when(~F.coalesce(F.col("_four_byte"), F.lit(False)), UNSUPPORTED)
         .when(F.col("version").isNull(), METADATA_CORRUPTED)
