@@ -7,11 +7,11 @@ length, however frequent, meets in one task, and token ids are never shuffled.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 from itertools import count as count_up
 
 import numpy as np
@@ -22,44 +22,54 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventloom.llm.frames import join_small, settle
-from eventloom.llm.words import buffer_of, span_hashes, word_spans
+from eventloom.llm.words import buffer_of, lower_ascii, slices, span_hashes, word_spans
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 PIECE = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, part bigint, nth bigint, ids array<int>"
 
 
 class WordTokenizer:
     """Token ids of whole texts, encoding each different word (by ASCII white space) once.
 
-    For tokenizers that drop white space and never join or change words across it.
+    For tokenizers that lower the case, drop white space, never join or change words across it, and take
+    a full stop or comma after a letter as a token of its own. Words are kept by their 64-bit hash.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[int, list[int]] = {}
+        self.known: dict[int, bytes] = {}  # ids by the word's hash
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, END_ID after each, and the n + 1 offsets of the texts."""
         data, offsets = buffer_of(column)
-        starts, ends, firsts = word_spans(data, offsets)
+        raw = data.tobytes()
+        if b"<|" not in raw:  # a special token is one in its own case only
+            data = lower_ascii(data)
+            raw = data.tobytes()
+        starts, ends, _ = word_spans(data, offsets)
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        stop = ((last == 44) | (last == 46)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
+        marks = ends[stop] - 1
+        starts = np.sort(np.concatenate([starts, marks]), kind="stable")
+        ends = np.sort(np.concatenate([ends, marks]), kind="stable")
+        firsts = np.searchsorted(starts, offsets)
         hashes, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         keys = hashes.tolist()
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         new = [i for i, key in enumerate(keys) if key not in self.known]
-        raw = data.tobytes()
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        for at in range(0, len(new), 5_000):
+            some = new[at : at + 5_000]
             texts = [raw[starts[where[i]] : ends[where[i]]].decode("utf-8", "replace") for i in some]
             for i, code in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                self.known[keys[i]] = code.ids
+                self.known[keys[i]] = np.array(code.ids, np.int32).tobytes()
         lists = [self.known[key] for key in keys]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.int32)
         begins = np.cumsum(sizes) - sizes
         each = sizes[which]
         out_ends = np.cumsum(each)
@@ -69,11 +79,17 @@ class WordTokenizer:
         return ids, bounds + np.arange(len(bounds))
 
 
+@functools.cache
+def _tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, so that the tasks it runs share the known words."""
+    return WordTokenizer(path)
+
+
 def _cut(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = _tokenizer(path)
         part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in slices(batch, "text")):
             ids, bounds = tokenizer.encode(batch.column("text"))
             totals = np.diff(bounds)
             pieces = -(-totals // length)

@@ -8,6 +8,7 @@ A batch's texts are taken as one byte buffer with offsets: no Python object per
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,21 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most `limit` bytes of text, or one row where that is longer."""
+    sizes = np.diff(buffer_of(batch.column(column))[1])
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
     """A 64-bit hash of data[s:e] for each span; starts ascending, ends not descending."""
     out = np.empty(len(starts), np.uint64)
@@ -90,7 +106,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, A-Z in lower case if wanted, and each text's first word (n + 1 entries)."""
     starts, ends, firsts = word_spans(data, offsets)
-    return span_hashes(_LOWER[data] if lower else data, starts, ends), firsts
+    return span_hashes(lower_ascii(data) if lower else data, starts, ends), firsts
 
 
 def shingles(words: np.ndarray, firsts: np.ndarray, width: int, whole_if_short: bool) -> list[np.ndarray]:
