@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, html, license, packing, quality, warc
+from eventloom.llm import chat, html, jaccard, license, packing, quality, suffix, warc
 from eventloom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"), 400)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@register
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85)
