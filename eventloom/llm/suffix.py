@@ -31,8 +31,8 @@ from eventloom.llm.words import buffer_of, slices, span_hashes
 
 LENGTH = 400
 COVER_ORDER = 11  # v = 11^2 + 11 + 1 = 133 for strings of 400 bytes
-BUCKET_BYTES = 32 << 20  # text per bucket of names
-SLICE = 16 << 20
+BUCKET_BYTES = 16 << 20  # text per bucket of names
+SLICE = 4 << 20
 BLOB = "bucket int, done boolean, docs binary, counts binary, positions binary, names binary"
 
 
@@ -207,7 +207,7 @@ def _name_again(length: int, buckets: int):
     v, _ = difference_cover(_order_for(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE // 4)):
+        for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE)):
             ids, data, offsets = _texts(batch)
             found = batch.column("found").to_pylist()
             rows, starts = [], []
@@ -279,7 +279,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE)):
         kept = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             data, at, parts = (text or "").encode(), 0, []
@@ -287,8 +287,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts.append(data[at : span["start"]])
                 at = span["end"]
             kept.append(b"".join([*parts, data[at:]]))
-        at = batch.schema.get_field_index("text")
-        yield batch.drop_columns("text").append_column("kept", pa.array(kept, pa.binary())) if at >= 0 else batch
+        yield batch.drop_columns("text").append_column("kept", pa.array(kept, pa.binary()))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -307,7 +306,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE)):
         texts = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
             if spans:
@@ -328,8 +327,6 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with the repeated strings cut out of `text`, whole characters only; all rows and columns stay."""
     spans = repeated_spans(docs, length)
-    name = "spans"
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", name)]
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "spans")]
     rows = docs.select("doc_id", "text", *rest)
-    schema = rows.schema
-    return join_small(rows, spans, "doc_id", "left", 500_000).mapInArrow(_clean, schema)
+    return join_small(rows, spans, "doc_id", "left", 500_000).mapInArrow(_clean, rows.schema)
