@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, html, jaccard, license, packing, quality, suffix, warc
+from eventloom.llm import chat, decontam, html, jaccard, license, lm, packing, quality, suffix, warc
 from eventloom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,3 +123,13 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"), 4, 85)
+
+
+@register
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
