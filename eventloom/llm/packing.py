@@ -26,7 +26,7 @@ from eventloom.llm.words import buffer_of, lower_ascii, slices, span_hashes, wor
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 500_000
+CACHED_WORDS = 250_000
 PIECE = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, part bigint, nth bigint, ids array<int>"
 
 

@@ -20,7 +20,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_SLICE = 1 << 21
+_SLICE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,7 +59,7 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most `limit` bytes of text, or one row where that is longer."""
     sizes = np.diff(buffer_of(batch.column(column))[1])
     ends = np.cumsum(sizes)
@@ -78,7 +78,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(starts, starts[at] + _SLICE)))
         low, high = int(starts[at]), int(ends[to - 1])
-        size = 1 << max(21, (high - low).bit_length())
+        size = 1 << max(19, (high - low).bit_length())
         forward, back = _powers(size, base)
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum(values[data[low:high]] * forward[: high - low], out=sums[1:])
