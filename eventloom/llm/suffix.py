@@ -31,8 +31,8 @@ from eventloom.llm.words import buffer_of, slices, span_hashes
 
 LENGTH = 400
 COVER_ORDER = 11  # v = 11^2 + 11 + 1 = 133 for strings of 400 bytes
-BUCKET_BYTES = 16 << 20  # text per bucket of names
-SLICE = 4 << 20
+BUCKET_BYTES = 8 << 20  # text per bucket of names
+SLICE = 2 << 20
 BLOB = "bucket int, done boolean, docs binary, counts binary, positions binary, names binary"
 
 
