@@ -89,7 +89,7 @@ def test_join_of_the_given_documents(spark, width, percent):
 
 def test_join_of_hot_groups(spark, monkeypatch):
     """Long keys, stars, blocks and combinations, with sets around all limits."""
-    for name, value in (("LIST", 3), ("BLOCK", 4), ("FREQUENT_FROM", 4), ("CHUNK_COUNT", 2), ("LONG", 60)):
+    for name, value in (("LIST", 3), ("RARE_LIST", 5), ("BLOCK", 4), ("FREQUENT_FROM", 4), ("CHUNK_COUNT", 2), ("LONG", 60)):
         monkeypatch.setattr(jaccard, name, value)
     random = np.random.default_rng(3)
     rows = [(0, None), (1, ""), (2, "One"), (3, "one"), (4, "one two"), (5, "a b c d e f"), (6, "A b c d e f g"), (6, "A b c d e f g")]
