@@ -36,11 +36,12 @@ def with_structured_fields(events: DataFrame, options: ReaderOptions) -> DataFra
 def with_unstructured_fields(
     events: DataFrame, timestamp: Column, utc_offset_seconds: Column
 ) -> DataFrame:
-    """Add log_level from the template, and the event's own timestamp and offset."""
+    """Add log_level from the template, and the event's own timestamp and offset; null ones are 0."""
+    zero = F.lit(0).cast("bigint")
     return events.withColumns(
         {
             LEVEL: level_from_logtype(F.col(LOGTYPE)),
-            TS: timestamp.cast("bigint"),
-            OFFSET: seconds_to_minutes(utc_offset_seconds),
+            TS: F.coalesce(timestamp.cast("bigint"), zero),
+            OFFSET: F.coalesce(seconds_to_minutes(utc_offset_seconds), zero),
         }
     )

@@ -42,17 +42,42 @@ def file_names(events: DataFrame) -> DataFrame:
     return file_infos(events).select(STREAM, "file_name", "log_event_idx_start")
 
 
+def _pieces(ranges: DataFrame, bits: int) -> DataFrame:
+    """Disjoint (stream, chunk, start, end, file_name) pieces of possibly overlapping ranges."""
+    cut = ranges.withColumn(
+        "_chunk",
+        F.explode(F.sequence(chunk_of(F.col("_start"), bits), chunk_of(F.col("_end") - 1, bits))),
+    )
+    low = F.greatest(F.col("_start"), F.shiftleft(F.col("_chunk"), bits))
+    high = F.least(F.col("_end"), F.shiftleft(F.col("_chunk") + 1, bits))
+    cut = cut.withColumns({"_low": low, "_high": high})
+    edges = cut.select(STREAM, "_chunk", F.explode(F.array("_low", "_high")).alias("_from")).distinct()
+    following = Window.partitionBy(STREAM, "_chunk").orderBy("_from")
+    gaps = edges.withColumn("_to", F.lead("_from").over(following)).where("_to is not null")
+    inside = (F.col("_low") <= F.col("_from")) & (F.col("_high") >= F.col("_to"))
+    owner = F.min_by("file_name", F.struct(-F.col("_start"), "_end", "file_name"))
+    return (
+        gaps.join(cut, [STREAM, "_chunk"])
+        .where(inside)
+        .groupBy(STREAM, "_chunk", "_from", "_to")
+        .agg(owner.alias("file_name"))
+        .withColumnsRenamed({"_from": "_start", "_to": "_end"})
+    )
+
+
 def attach_file(
     events: DataFrame,
     infos: DataFrame,
     bits: int = CHUNK_BITS,
     broadcast_ranges: int = BROADCAST_RANGES,
 ) -> DataFrame:
-    """Add file_name to events from disjoint position ranges; null where no range holds the event.
+    """Add file_name to events from position ranges; null where no range holds the event.
 
-    Few ranges are broadcast, cut to chunks so the lookup is a hash join. Otherwise events and range
-    starts meet in (stream, chunk) groups and each event takes the last start at or before it: one
-    shuffle, at most 2**bits events per group.
+    Where ranges overlap, the one that starts last holds the event, of several the one that ends first,
+    then the first name. Ranges are cut to disjoint pieces within chunks by that rule. Few pieces are
+    broadcast, so the lookup is a hash join. Otherwise events and the pieces' starts meet in (stream,
+    chunk) groups and each event takes the last start at or before it: one shuffle, at most 2**bits
+    events per group. Both ways give the same names.
     """
     ranges = infos.select(
         STREAM,
@@ -61,10 +86,7 @@ def attach_file(
         F.col("log_event_idx_end").alias("_end"),
     ).where(F.col("_end") > F.col("_start"))
     ranges = settle(ranges, "file-ranges")
-    cut = ranges.withColumn(
-        "_chunk",
-        F.explode(F.sequence(chunk_of(F.col("_start"), bits), chunk_of(F.col("_end") - 1, bits))),
-    )
+    cut = settle(_pieces(ranges, bits), "file-pieces")
     located = events.withColumn("_chunk", chunk_of(F.col(IDX), bits))
     if small_enough(cut, broadcast_ranges):
         e, r = located.alias("e"), F.broadcast(cut).alias("r")
@@ -75,11 +97,10 @@ def attach_file(
             & (F.col(f"e.{IDX}") < F.col("r._end"))
         )
         return e.join(r, inside, "left").select("e.*", "r.file_name").drop("_chunk")
-    start_in_chunk = F.greatest(F.col("_start"), F.shiftleft(F.col("_chunk"), bits))
     starts = cut.select(
         STREAM,
         "_chunk",
-        start_in_chunk.alias(IDX),
+        F.col("_start").alias(IDX),
         F.struct("_end", "file_name").alias("_range"),
         F.lit(0).alias("_is_event"),
     )

@@ -16,6 +16,11 @@ from eventloom.schema import IDX, STREAM
 from eventloom.session import settle
 
 
+def part_number(path: Column) -> Column:
+    """The number in a part file's name, null for other names: as text, part-100000 comes before part-99999."""
+    return F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("bigint")
+
+
 def index_by_order(
     rows: DataFrame, order: str, stream: str = STREAM, bits: int = CHUNK_BITS, name: str = IDX
 ) -> DataFrame:
@@ -96,7 +101,8 @@ def index_by_parquet_position(
     counts = settle(
         located.groupBy("_stream", "_path").agg(F.count("*").alias("_n")), "file-counts"
     )
-    earlier = Window.partitionBy("_stream").orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    in_file_order = [F.regexp_replace("_path", "[^/]*$", ""), part_number(F.col("_path")), "_path"]
+    earlier = Window.partitionBy("_stream").orderBy(*in_file_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_stream", "_path", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from eventloom.operators.chunks import BROADCAST_ROWS, carry_before, chunk_of, small_enough
 from eventloom.schema import IDX, STREAM, TS
@@ -54,16 +55,23 @@ def nearest_events(
 ) -> DataFrame:
     """Add log_event_idx to every probe row (stream_id, target): an as-of join per stream.
 
+    Targets are numbers of milliseconds; a fraction is cut down to the whole one below it.
+
     Events with equal (stream, time) are reduced to their last index before anything is compared, and
     equal probes are answered once, so no repeated time makes a large group: a (stream, bucket) holds
     at most 2**20 distinct times. What lies before a bucket is carried over one row
     per bucket. Where the probes touch few buckets, only those buckets' events are compared.
     """
+    if IDX in probes.columns:
+        raise ValueError(f"the probe table already has a column {IDX}")
+    if not isinstance(probes.schema[target].dataType, NumericType):
+        raise TypeError(f"{target} must be a number of milliseconds, not {probes.schema[target].dataType.simpleString()}")
+    probes = probes.withColumn("_target", F.floor(target).cast("bigint"))
     bucket = chunk_of(F.col(TS), bucket_bits)
     happened = events.select(STREAM, TS, IDX, bucket.alias("_bucket"), F.lit(False).alias("_asked"))
     asked = (
-        probes.where(F.col(target).isNotNull())
-        .select(STREAM, F.col(target).cast("bigint").alias(TS))
+        probes.where(F.col("_target").isNotNull())
+        .select(STREAM, F.col("_target").alias(TS))
         .select(STREAM, TS, F.lit(None).cast("bigint").alias(IDX), bucket.alias("_bucket"), F.lit(True).alias("_asked"))
     )
 
@@ -104,6 +112,6 @@ def nearest_events(
         times.withColumn("_idx", F.last("_idx", ignorenulls=True).over(up_to))
         .where("_asked")
         .join(before, [STREAM, "_bucket"])
-        .select(STREAM, F.col(TS).alias(target), F.coalesce("_idx", "_before").alias(IDX))
+        .select(STREAM, F.col(TS).alias("_target"), F.coalesce("_idx", "_before").alias(IDX))
     )
-    return probes.join(answers, [STREAM, target], "left")
+    return probes.join(answers, [STREAM, "_target"], "left").drop("_target")

@@ -560,6 +560,40 @@ def event_to_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.attach_file(events.select(STREAM, IDX), files.file_infos(events))
 
 
+_INTERLEAVED = f"""{_FOUR}, halves AS (SELECT stream_id, log_event_idx,
+        'h' || CAST(log_event_idx // 700 % 2 AS VARCHAR) AS half FROM four),
+    ranges AS (SELECT stream_id, half, min(log_event_idx) AS a, max(log_event_idx) + 1 AS z FROM halves GROUP BY ALL)
+    SELECT e.stream_id, e.log_event_idx, arg_max(r.half, r.a) AS file_name
+    FROM four e JOIN ranges r ON r.stream_id = e.stream_id AND e.log_event_idx >= r.a AND e.log_event_idx < r.z
+    GROUP BY ALL"""
+
+
+def _interleaved(spark: SparkSession, sf_dir: str, broadcast_ranges: int) -> DataFrame:
+    """Two interleaved files per stream, so their ranges overlap, in chunks of 64 positions."""
+    events = dt.four_streams(spark, sf_dir)
+    events = events.withColumn(FILE, F.format_string("h%d", F.floor(F.col(IDX) / 700) % 2))
+    return files.attach_file(events.select(STREAM, IDX), files.file_infos(events), 6, broadcast_ranges)
+
+
+@check(f"WITH {_INTERLEAVED}")
+def event_to_file_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interleaved(spark, sf_dir, 1_000_000)
+
+
+@check(f"WITH {_INTERLEAVED}")
+def event_to_file_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interleaved(spark, sf_dir, 0)
+
+
+@check(
+    f"""WITH {_FOUR}, steps AS (SELECT stream_id, log_event_idx, utc_offset,
+        lag(utc_offset) OVER (PARTITION BY stream_id ORDER BY log_event_idx) AS previous_utc_offset FROM four)
+    SELECT * FROM steps WHERE utc_offset <> previous_utc_offset"""
+)
+def offset_changes_small_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diagnostics.offset_changes(dt.four_streams(spark, sf_dir), 6)
+
+
 @check(
     f"""WITH {_FOUR}, steps AS (SELECT stream_id, log_event_idx, utc_offset,
         lag(utc_offset) OVER (PARTITION BY stream_id ORDER BY log_event_idx) AS previous_utc_offset FROM four)
@@ -695,9 +729,8 @@ def message_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` arriving as a stream: derived, filtered, rendered and appended to a table."""
     schema = dt.table(spark, sf_dir, "events").schema
-    arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    # As a pattern the path may be one file or a folder of part files.
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/events[.]parquet")
     events = normalise(
         arriving,
         lambda rows: dt.build_structured(rows, F.lit("all"), F.col("event_id")),

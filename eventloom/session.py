@@ -25,8 +25,17 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only when the session names none, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _temporary_dir()).rstrip("/")
+    """The cluster's shared folder: spark.checkpoint.dir, else the context's checkpoint folder.
+
+    Only a session on one machine, as in tests, may do without and gets a temporary folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master is {master})")
+    return _temporary_dir()
 
 
 @functools.cache

@@ -158,3 +158,27 @@ def test_files_of_loaded_events(spark):
     e = indexing.index_by_order(rows, "event_id", bits=5)
     back = files.attach_file(e, files.file_infos(e), bits=6)
     assert back.where(F.col(FILE) != F.col("file_name")).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 18])
+def test_overlapping_ranges_have_one_owner_whatever_their_number(spark, bits):
+    e = events(spark, [("a", i, 0, 0, "{}", 0, "y" if i in (3, 4) else "x") for i in range(10)])
+    infos = files.file_infos(e)
+    infos = infos.unionByName(infos.limit(0)).union(
+        spark.createDataFrame([("a", "z", 4, 12, 8, False), ("a", "w", 4, 6, 2, False)], infos.schema)
+    )
+    want = [(i, "x") for i in range(3)] + [(3, "y")] + [(4, "w"), (5, "w")] + [(i, "z") for i in range(6, 10)]
+    for bound in (0, 1000):
+        got = files.attach_file(e.select(STREAM, IDX), infos, bits=bits, broadcast_ranges=bound)
+        assert values(got, IDX, "file_name") == want
+
+
+def test_part_files_are_ordered_by_number(spark, tmp_path):
+    for number in (99998, 99999, 100000, 100001):
+        rows = spark.createDataFrame([(number * 10 + k,) for k in range(2)], "v bigint").coalesce(1)
+        rows.write.parquet(f"{tmp_path}/t{number}")
+        (part,) = (tmp_path / f"t{number}").glob("part-*.parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        part.rename(tmp_path / "all" / f"part-{number}-x.parquet")
+    got = indexing.index_by_parquet_position(spark.read.parquet(f"{tmp_path}/all"))
+    assert [r["v"] for r in got.orderBy(IDX).collect()] == [n * 10 + k for n in (99998, 99999, 100000, 100001) for k in range(2)]

@@ -3,6 +3,7 @@ import bisect
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from eventloom.operators import nearest
 from eventloom.schema import IDX, STREAM
@@ -69,3 +70,21 @@ def test_index_beyond_the_packed_range_is_refused(spark):
     e = events(spark, [("a", 1 << 43, 5, 0)])
     with pytest.raises(Exception, match="43 bits"):
         nearest.nearest_event(e, 9).collect()
+
+
+@pytest.mark.parametrize("kind,target", [("int", 35), ("double", 35.7), ("decimal(10,2)", None), ("bigint", 35)])
+def test_probe_types(spark, kind, target):
+    e = events(spark, [("a", i, ts, 0) for i, ts in enumerate([5, 20, 30, 35, 36])])
+    asked = spark.createDataFrame([("a", "35.7")], f"{STREAM} string, t string").select(
+        STREAM, F.col("t").cast("double").cast(kind).alias("target_ts")
+    )
+    assert values(nearest.nearest_events(e, asked), IDX) == [(3,)]
+
+
+def test_refused_probes(spark):
+    e = events(spark, [("a", 0, 5, 0)])
+    timed = spark.sql(f"select 'a' {STREAM}, timestamp'2024-01-01' target_ts")
+    with pytest.raises(TypeError, match="milliseconds"):
+        nearest.nearest_events(e, timed)
+    with pytest.raises(ValueError, match=IDX):
+        nearest.nearest_events(e, spark.sql(f"select 'a' {STREAM}, 1 target_ts, 2 {IDX}"))

@@ -123,5 +123,25 @@ def test_archive_files(spark, tmp_path):
 
 
 def test_blobs_are_not_read_whole(spark):
-    plan = blobs.read_heads(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = blobs.read_heads(blobs.list_files(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
+
+
+def test_listed_files_may_be_empty_or_opened_by_the_caller(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"\xfd\x2f\xc5\x30rest")
+    (tmp_path / "b").write_bytes(b"")
+    listed = spark.createDataFrame([(f"file:{tmp_path}/a", 8), (f"file:{tmp_path}/b", 0)], "path string, length bigint")
+    want = [(True, 8), (False, 0)]
+    assert [(r["is_archive"], r["length"]) for r in blobs.classify_listed(listed).orderBy("path").collect()] == want
+    own = listed.withColumn("path", F.concat(F.lit("own-"), "path"))
+    got = blobs.classify_listed(own, lambda name: open(name.removeprefix("own-file:"), "rb"))
+    assert [(r["is_archive"], r["length"]) for r in got.orderBy("path").collect()] == want
+
+
+def test_unstructured_nulls_become_zero(spark):
+    from eventloom.functions.derive import with_unstructured_fields
+    from eventloom.schema import LOGTYPE, OFFSET, TS
+
+    rows = spark.createDataFrame([("x", None)], f"{LOGTYPE} string, t bigint")
+    row = with_unstructured_fields(rows, F.col("t"), F.col("t")).first()
+    assert (row[TS], row[OFFSET]) == (0, 0)

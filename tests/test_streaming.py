@@ -56,3 +56,12 @@ def test_unstructured_stream_equals_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert got == sorted(tuple(r) for r in paging.decode(lines(table), UNSTRUCTURED).collect())
     assert {r[3] for r in got} == {r["text"] for r in table.collect()}
+
+
+def test_streaming_query_over_both_layouts(spark, tmp_path):
+    from eventloom.plans import checks
+
+    whole = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    whole.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    want = sorted(map(tuple, checks.QUERIES["streaming_normalise"](spark, SF_SMALL).collect()))
+    assert want and sorted(map(tuple, checks.QUERIES["streaming_normalise"](spark, str(tmp_path)).collect())) == want
