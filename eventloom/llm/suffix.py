@@ -114,7 +114,7 @@ def _emit(doc: np.ndarray, position: np.ndarray, low: np.ndarray, high: np.ndarr
     for done, keep in ((True, twice), (False, first)):
         at = np.flatnonzero(keep)
         if done:  # dealt out by document
-            where = (doc[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
+            where = _home(doc[at], buckets)
         else:
             where = bucket[at]
         order = np.argsort(where, kind="stable")
@@ -161,8 +161,13 @@ def _sample(length: int, buckets: int):
     return run
 
 
-def _join_names(width: int):
-    """Per bucket: entries whose name another task has too, and what tasks have settled, dealt out by document."""
+def _home(doc: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket that gathers a document's positions."""
+    return ((doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _join_names(width: int, buckets: int):
+    """Per bucket: entries whose name another task has too, and what tasks have settled, packed by home bucket."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         docs, positions, names, out_docs, out_positions = [], [], [], [], []
@@ -181,16 +186,28 @@ def _join_names(width: int):
             twice, _ = _repeated(np.concatenate(names))
             out_docs.append(np.concatenate(docs)[twice])
             out_positions.append(np.concatenate(positions)[twice])
-        doc, position = np.concatenate(out_docs), np.concatenate(out_positions).astype(np.int64)
-        order = np.lexsort((position, doc))
-        doc, position = doc[order], position[order]
-        edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True]) if len(doc) else np.zeros(1, int)
-        blobs = [_squeeze(np.unique(position[a:z]).astype(np.uint32)) for a, z in zip(edges[:-1], edges[1:])]
-        return pd.DataFrame({"doc_id": doc[edges[:-1]], "blob": blobs})
+        doc, position = np.concatenate(out_docs), np.concatenate(out_positions)
+        home = _home(doc, buckets)
+        order = np.lexsort((position, doc, home))
+        doc, position, home = doc[order], position[order], home[order]
+        edges = np.flatnonzero(np.r_[True, home[1:] != home[:-1], True]) if len(doc) else np.zeros(1, int)
+        rows = [(int(home[a]), *_by_document(doc[a:z], position[a:z])) for a, z in zip(edges[:-1], edges[1:])]
+        return pd.DataFrame(rows, columns=["home", "docs", "counts", "positions"])
 
     return run
 
 
+def _gather(frame: pd.DataFrame) -> pd.DataFrame:
+    """All positions of each document of a home bucket."""
+    pairs = [_pairs(d, c, p) for d, c, p in zip(frame["docs"], frame["counts"], frame["positions"])]
+    doc, position = (np.concatenate(x) for x in zip(*pairs))
+    order = np.lexsort((position, doc))
+    doc, position = doc[order], position[order]
+    edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
+    found = [[_squeeze(np.unique(position[a:z]))] for a, z in zip(edges[:-1], edges[1:])]
+    return pd.DataFrame({"doc_id": doc[edges[:-1]], "found": found})
+
+
 def _positions(found: list | None) -> np.ndarray:
     return np.unique(np.concatenate([_spread(b, np.uint32) for b in found])).astype(np.int64) if found else np.zeros(0, np.int64)
 
@@ -241,8 +258,10 @@ def _spans(length: int):
 
 def _matches(texts: DataFrame, name: Callable, buckets: int, width: int, label: str) -> DataFrame:
     blobs = texts.mapInArrow(name, BLOB).repartition(F.col("bucket"))
-    pieces = blobs.groupBy("bucket").applyInPandas(_join_names(width), "doc_id bigint, blob binary")
-    return settle(pieces.groupBy("doc_id").agg(F.collect_list("blob").alias("found")), label)
+    packed = blobs.groupBy("bucket").applyInPandas(
+        _join_names(width, buckets), "home int, docs binary, counts binary, positions binary"
+    )
+    return settle(packed.groupBy("home").applyInPandas(_gather, "doc_id bigint, found array<binary>"), label)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
