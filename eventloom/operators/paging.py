@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,15 @@ from eventloom.schema import IDX, LEVEL, LOGTYPE, OFFSET, STREAM, STRUCTURED, TS
 from eventloom.session import settle
 
 PAGE_CHUNKS = 10_000
+PAGE_RANGES = 64  # index ranges that a scan condition names one by one
+
+
+def _within(ranges: list[tuple[str, int, int]]) -> Column:
+    """A scan condition for (stream, low, high), ends included; too many are taken as one range."""
+    if len(ranges) > PAGE_RANGES:
+        return F.col(IDX).between(min(low for _, low, _ in ranges), max(high for _, _, high in ranges))
+    tests = [(F.col(STREAM) == stream) & F.col(IDX).between(low, high) for stream, low, high in ranges]
+    return functools.reduce(operator.or_, tests)
 
 
 def decode(events: DataFrame, stream_type: str = STRUCTURED) -> DataFrame:
@@ -67,9 +79,12 @@ def page_filtered(
     stream_type: str = STRUCTURED,
     strict: bool = False,
     bits: int = CHUNK_BITS,
+    counted: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Matches [begin, end) of each stream's filtered list, with their whole-stream numbers.
 
+    `counted` is what match_offsets gave for this filter and `bits`, kept from an earlier page.
+
     No page where the filter is not active (see filter_summary) or the list is too short. The first
     pass counts matches per chunk of positions, reading only what the condition needs; the page's keys
     are then numbered in the few chunks it falls into. Whole events are read last, for those keys
@@ -80,7 +95,7 @@ def page_filtered(
         if strict:
             raise ValueError("no active filter" if condition is None else f"invalid range [{begin}, {end})")
         return empty
-    before, totals = match_offsets(events, condition, stream_type, bits)
+    before, totals = counted or match_offsets(events, condition, stream_type, bits)
     long_enough = totals.where(F.col("_matches") >= end)
     if strict:
         lacking = events.where(F.col(IDX) == 0).select(STREAM).join(long_enough, STREAM, "left_anti")
@@ -98,18 +113,23 @@ def page_filtered(
     hits = events.where(condition).select(STREAM, IDX)
     if len(found) <= PAGE_CHUNKS:
         wanted = F.broadcast(events.sparkSession.createDataFrame(found, wanted.schema))
-        low = min(r["_chunk"] for r in found) << bits
-        high = (max(r["_chunk"] for r in found) + 1) << bits
-        hits = hits.where((F.col(IDX) >= low) & (F.col(IDX) < high))
+        hits = hits.where(
+            _within([(r[STREAM], r["_chunk"] << bits, ((r["_chunk"] + 1) << bits) - 1) for r in found])
+        )
     hits = hits.withColumn("_chunk", chunk_of(F.col(IDX), bits)).join(
         wanted.select(STREAM, "_chunk"), [STREAM, "_chunk"], "left_semi"
     )
     inside = (F.col("filtered_idx") >= begin) & (F.col("filtered_idx") < end)
     keys = settle(number_hits(hits, wanted).where(inside).select(STREAM, IDX), "page-keys")
-    span = keys.agg(F.min(IDX).alias("low"), F.max(IDX).alias("high")).first()
-    if span["low"] is None:
+    ends = [F.min(IDX).alias("low"), F.max(IDX).alias("high")]
+    spans = keys.groupBy(STREAM).agg(*ends).limit(PAGE_RANGES + 1).collect()
+    if not spans:
         return empty
-    rows = events.where((F.col(IDX) >= span["low"]) & (F.col(IDX) <= span["high"]))
+    if len(spans) > PAGE_RANGES:
+        whole = keys.agg(*ends).first()
+        rows = events.where(F.col(IDX).between(whole["low"], whole["high"]))
+    else:
+        rows = events.where(_within([(r[STREAM], r["low"], r["high"]) for r in spans]))
     # The keys' size is known from their files, so Spark itself decides whether to broadcast them.
     rows = rows.join(keys, [STREAM, IDX], "left_semi")
     return decode(rows, stream_type).orderBy(STREAM, "log_event_num")

@@ -153,10 +153,12 @@ def structured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.decode(events).select(LEVEL, MESSAGE, TS, OFFSET)
 
 
-def _cut_off_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cut_off_records(spark: SparkSession, sf_dir: str, in_the_middle: bool = True) -> DataFrame:
     """A stream per 1000 events; the last record of each cut off, some broken in the middle too."""
     e = F.col("event_id")
-    broken = (e % 1000 == 999) | ((e % 1000 == 500) & (F.expr("event_id div 1000") % 3 == 1))
+    broken = e % 1000 == 999
+    if in_the_middle:
+        broken = broken | ((e % 1000 == 500) & (F.expr("event_id div 1000") % 3 == 1))
     return dt.table(spark, sf_dir, "events").select(
         dt.source_file().alias(STREAM),
         (e % 1000).alias(IDX),
@@ -177,15 +179,53 @@ def tolerant_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(
-    f"""WITH {_RECORDS} SELECT stream_id, log_event_idx, record FROM records
-    WHERE third <> 1 AND json_valid(record)"""
+    """SELECT 'f' || CAST(event_id // 1000 AS VARCHAR) AS stream_id, event_id % 1000 AS log_event_idx,
+    props AS record FROM events WHERE event_id % 1000 <> 999"""
 )
 def tolerant_load_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only streams that are whole but for their last record: strict accepts them."""
-    records = _cut_off_records(spark, sf_dir).where(F.substring(STREAM, 2, 20).cast("bigint") % 3 != 1)
+    """All streams are whole but for their last record: strict accepts them."""
+    records = _cut_off_records(spark, sf_dir, in_the_middle=False)
     return tolerant.split_broken(records, tolerant.broken_json(F.col("record")))
 
 
+@check(
+    f"""WITH {_RECORDS} SELECT stream_id, log_event_idx AS record_idx, record,
+        row_number() OVER (PARTITION BY stream_id ORDER BY log_event_idx) - 1 AS log_event_idx
+    FROM records WHERE json_valid(record)"""
+)
+def tolerant_load_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable records at positions without gaps, over many chunks of positions."""
+    records = _cut_off_records(spark, sf_dir)
+    return tolerant.load_tolerant(records, tolerant.broken_json(F.col("record")), bits=6)[0]
+
+
+@check(
+    f"""WITH {_RECORDS}, marked AS (SELECT *, max(log_event_idx) OVER (PARTITION BY stream_id) AS last_idx FROM records)
+    SELECT stream_id, log_event_idx AS record_idx,
+        CASE WHEN log_event_idx = last_idx THEN 'incomplete' ELSE 'corrupt' END AS problem
+    FROM marked WHERE NOT json_valid(record)"""
+)
+def tolerant_load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _cut_off_records(spark, sf_dir)
+    return tolerant.load_tolerant(records, tolerant.broken_json(F.col("record")))[1]
+
+
+@check(
+    f"""WITH {_RECORDS}, dense AS (SELECT stream_id,
+        row_number() OVER (PARTITION BY stream_id ORDER BY log_event_idx) AS log_event_num,
+        count(*) OVER (PARTITION BY stream_id) AS n FROM records WHERE json_valid(record))
+    SELECT stream_id, log_event_num FROM dense WHERE n >= 998 AND log_event_num > 480 AND log_event_num <= 998"""
+)
+def page_after_tolerant_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page across the place of a broken record: as long as asked for, without a hole."""
+    records = _cut_off_records(spark, sf_dir)
+    loaded, _ = tolerant.load_tolerant(records, tolerant.broken_json(F.col("record")))
+    events = structured_events(
+        loaded, dt.OPTIONS, stream=F.col(STREAM), idx=F.col(IDX), auto=F.lit("{}"), user=F.col("record")
+    )
+    return paging.page(events, 480, 998).select(STREAM, "log_event_num")
+
+
 @check(
     f"""WITH {_RECORDS}, marked AS (SELECT *, NOT json_valid(record) AS bad,
         max(log_event_idx) OVER (PARTITION BY stream_id) AS last_idx FROM records)
@@ -457,6 +497,33 @@ def page_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page_filtered(dt.one_stream(spark, sf_dir), condition, 20, 120)
 
 
+@check(
+    f"""WITH {_FOUR}, hits AS (SELECT *, count(*) OVER (PARTITION BY stream_id) AS n,
+        row_number() OVER (PARTITION BY stream_id ORDER BY log_event_idx) - 1 AS filtered_idx
+        FROM four WHERE k >= CASE stream_id WHEN 's1' THEN 95 ELSE 20 END)
+    SELECT stream_id, log_event_idx + 1 AS log_event_num, log_level, timestamp, utc_offset
+    FROM hits WHERE n >= 12 AND filtered_idx >= 2 AND filtered_idx < 12"""
+)
+def page_filtered_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of four streams that lie in different chunks of positions, from counts kept for the filter."""
+    events = dt.four_streams(spark, sf_dir)
+    condition = F.when(F.col(STREAM) == "s1", kv("k") >= 95).otherwise(kv("k") >= 20)
+    counted = filters.match_offsets(events, condition, bits=4)
+    page = paging.page_filtered(events, condition, 2, 12, bits=4, counted=counted)
+    return page.select(STREAM, "log_event_num", LEVEL, TS, OFFSET)
+
+
+@check(
+    f"""WITH {_FOUR} SELECT stream_id, log_event_idx,
+        row_number() OVER (PARTITION BY stream_id ORDER BY log_event_idx) - 1 AS filtered_idx
+    FROM four WHERE log_level IN (4, 5, 6) AND k >= 50"""
+)
+def filtered_index_map_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered index map over many chunks of positions."""
+    condition = filters.filter_condition([4, 5, 6], kv("k") >= 50)
+    return filters.filtered_index_map(dt.four_streams(spark, sf_dir), condition, bits=6)
+
+
 @check(f"WITH {_ONE} {_DECODED} FROM one WHERE false")
 def page_filtered_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A filter that keeps every event of a structured stream is not active: no filtered page."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 
 from eventloom.operators import files, filters, nearest, paging
 from eventloom.schema import STRUCTURED
+from eventloom.session import settle
 from eventloom.sources.store import of_stream
 
 
@@ -20,6 +21,14 @@ class LogTable:
         self.events = events
         self.stream_type = stream_type
         self._condition = condition
+        self._counted: tuple[DataFrame, DataFrame] | None = None
+
+    def _match_counts(self) -> tuple[DataFrame, DataFrame]:
+        """Matches before each chunk, and per stream: counted at first use, then read from the shared folder."""
+        if self._counted is None:
+            before, totals = filters.match_offsets(self.events, self._condition, self.stream_type)
+            self._counted = settle(before, "matches-before"), settle(totals, "match-totals")
+        return self._counted
 
     def only(self, stream_id: str) -> LogTable:
         return LogTable(of_stream(self.events, stream_id), self.stream_type, self._condition)
@@ -50,14 +59,17 @@ class LogTable:
         """Null without an active filter in any stream."""
         if self._condition is None:
             return None
-        before, totals = filters.match_offsets(self.events, self._condition, self.stream_type)
+        before, totals = self._match_counts()
         if self.stream_type == STRUCTURED and not totals.limit(1).count():
             return None
         return filters.index_map(self.events, self._condition, before, totals)
 
     def page(self, begin: int, end: int, use_filter: bool = False, strict: bool = False) -> DataFrame:
         if use_filter:
-            return paging.page_filtered(self.events, self._condition, begin, end, self.stream_type, strict)
+            counted = None if self._condition is None else self._match_counts()
+            return paging.page_filtered(
+                self.events, self._condition, begin, end, self.stream_type, strict, counted=counted
+            )
         return paging.page(self.events, begin, end, self.stream_type, strict)
 
     def nearest(self, target_ts: int) -> DataFrame:

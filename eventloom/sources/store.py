@@ -18,11 +18,14 @@ def bucket_of(stream: Column) -> Column:
 def store_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write events by stream bucket, each file sorted by stream and position.
 
-    Events are not shuffled for it: a long stream stays spread over the files of many tasks, and the
-    sort gives every row group narrow ranges of streams and positions to be skipped by.
+    Events are gathered by bucket first, so the number of files follows the size of the table, not
+    tasks times buckets. Adaptive execution cuts a bucket with a long stream into several tasks and
+    merges small ones, to about spark.sql.adaptive.advisoryPartitionSizeInBytes each. The sort gives
+    every row group narrow ranges of streams and positions to be skipped by.
     """
     (
         events.withColumn(BUCKET, bucket_of(F.col(STREAM)))
+        .hint("rebalance", F.col(BUCKET))
         .sortWithinPartitions(BUCKET, STREAM, IDX)
         .write.mode(mode)
         .partitionBy(BUCKET)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventloom.operators.chunks import CHUNK_BITS, carry_before, chunk_of
 from eventloom.schema import IDX, STREAM
+from eventloom.session import settle
 
 
 class CorruptStreamError(ValueError):
@@ -46,6 +48,34 @@ def split_broken(records: DataFrame, broken: Column, strict: bool = True) -> Dat
     return records.where(~broken)
 
 
+def load_tolerant(records: DataFrame, broken: Column, bits: int = CHUNK_BITS) -> tuple[DataFrame, DataFrame]:
+    """(events, errors): the readable records at dense positions, and one row per broken record.
+
+    Events keep their place in the input as record_idx and are numbered anew without gaps, as pages
+    need it. Errors are (stream_id, record_idx, problem): "incomplete" for a stream's last record,
+    "corrupt" for any other. Only chunks of positions that hold broken records are shuffled; all
+    other records move by a number that the counts per chunk tell.
+    """
+    marked = records.withColumns(
+        {"_chunk": chunk_of(F.col(IDX), bits), "_broken": F.coalesce(broken, F.lit(False)), "record_idx": F.col(IDX)}
+    )
+    counts = settle(
+        marked.groupBy(STREAM, "_chunk").agg(F.count_if("_broken").alias("_n"), F.max(IDX).alias("_last")),
+        "broken-counts",
+    )
+    before = settle(carry_before(counts, [STREAM], "_chunk", "_n", "sum", "_before").drop("_last"), "broken-before")
+    placed = marked.join(before, [STREAM, "_chunk"])
+    earlier = Window.partitionBy(STREAM, "_chunk").orderBy(IDX)
+    whole = placed.where("_n = 0").withColumn("_inside", F.lit(0).cast("bigint"))
+    mended = placed.where("_n > 0").withColumn("_inside", F.count_if("_broken").over(earlier)).where("not _broken")
+    names = [c for c in dict.fromkeys([*records.columns, "record_idx"]) if c != IDX]
+    events = whole.unionByName(mended).select((F.col(IDX) - F.col("_before") - F.col("_inside")).alias(IDX), *names)
+    ends = counts.groupBy(STREAM).agg(F.max("_last").alias("_last"))
+    problem = F.when(F.col(IDX) == F.col("_last"), "incomplete").otherwise("corrupt")
+    errors = marked.where("_broken").join(ends, STREAM).select(STREAM, "record_idx", problem.alias("problem"))
+    return events, errors
+
+
 def broken_json(text: Column) -> Column:
     """A record that has text which is not JSON."""
     return text.isNotNull() & F.try_parse_json(text).isNull()
