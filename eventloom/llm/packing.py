@@ -45,6 +45,10 @@ class WordTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.is_last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -54,18 +58,24 @@ class WordTokenizer:
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
         """Adds words with their hashes, none of them known yet.
 
-        Words of ASCII letters, each one word to the tokenizer too, are encoded many in one text.
+        Words of ASCII letters, each one word to the tokenizer too, are encoded many in one text if its
+        vocabulary marks the ends of words.
         """
-        plain = np.fromiter((w.isascii() and w.isalpha() for w in words), bool, len(words))
+        plain = np.fromiter((w.isascii() and w.isalpha() for w in words), bool, len(words)) & self.is_last.any()
         order = np.argsort(~plain, kind="stable")
         sizes, flat = [np.zeros(0, np.int64)], array("i")
         for at in range(0, len(words), 1_000):
             some = [words[i] for i in order[at : at + 1_000].tolist()]
             joined = plain[order[at : at + 1_000]].all()
             codes = self.tokenizer.encode_batch_fast([" ".join(some)] if joined else some, add_special_tokens=False)
+            before = len(flat)
             for code in codes:
                 flat.extend(code.ids)
-            sizes.append(np.bincount(codes[0].word_ids, minlength=len(some)) if joined else np.array([len(c) for c in codes]))
+            if joined:
+                last = np.flatnonzero(self.is_last[np.array(flat[before:], np.int64)])
+                sizes.append(np.diff(last, prepend=-1))
+            else:
+                sizes.append(np.array([len(code) for code in codes], np.int64))
         new = np.concatenate(sizes)
         both = np.concatenate([self.keys, keys[order]])
         begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(new) - new])
