@@ -21,6 +21,8 @@ from eventloom.llm.frames import settle
 from eventloom.llm.words import mix
 
 RUN = 6  # words of a repeated run
+PAGES_AT_ONCE = 500  # pages whose blocks a task holds
+SUFFIXES_AT_ONCE = 50_000  # suffix rows a task holds
 MIN_PAGES = 3  # distinct pages that share it
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -131,36 +133,57 @@ def page_blocks(html: str | None) -> list[tuple[str, bool]]:
     return _Blocks().result(html) if html else []
 
 
+def _pieces(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for at in range(0, len(frame), PAGES_AT_ONCE):
+        yield frame.iloc[at : at + PAGES_AT_ONCE]
+
+
 def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
+    for frame in (f for frame in frames for f in _pieces(frame)):
         blocks = [page_blocks(h) for h in frame["html"]]
         yield frame.drop(columns="html").assign(
             texts=[[t for t, _ in b] for b in blocks], kept=[[bool(k) for _, k in b] for b in blocks]
         )
 
 
-def _suffix_names(words: list[str], width: int) -> list[int]:
+def _suffix_names(words: list[str], width: int) -> np.ndarray:
     """A name for the first `width` words of each suffix of a block; a shorter block has one for all of it."""
     codes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
     width = min(width, len(codes))
     named = np.full(len(codes) - width + 1, width, np.uint64)
     for k in range(width):
         named = mix(named * _STEP + codes[k : len(codes) - width + 1 + k])
-    return named.view(np.int64).tolist()
+    return named.view(np.int64)
+
+
+def _suffix_rows(held: list[tuple[str, int, int, np.ndarray]]) -> pd.DataFrame:
+    hosts, pages, blocks, names = zip(*held)
+    sizes = [len(n) for n in names]
+    return pd.DataFrame(
+        {
+            "host": np.repeat(np.array(hosts, object), sizes),
+            "name": np.concatenate(names),
+            "row": np.repeat(np.array(pages, np.int64), sizes),
+            "block": np.repeat(np.array(blocks, np.int32), sizes),
+            "at": np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]),
+        }
+    )
 
 
 def _suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        rows = [
-            (host, name, page, block, at)
-            for host, page, texts, kept in zip(frame["host"], frame["row"], frame["texts"], frame["kept"])
-            for block, (text, keep) in enumerate(zip(texts, kept))
-            if not keep
-            for at, name in enumerate(_suffix_names(text.split(" "), RUN))
-        ]
-        yield pd.DataFrame(rows, columns=["host", "name", "row", "block", "at"]).astype(
-            {"name": "int64", "row": "int64", "block": "int32", "at": "int32"}
-        )
+        held, size = [], 0
+        for host, page, texts, kept in zip(frame["host"], frame["row"], frame["texts"], frame["kept"]):
+            for block, (text, keep) in enumerate(zip(texts, kept)):
+                if keep:
+                    continue
+                held.append((host, page, block, _suffix_names(text.split(" "), RUN)))
+                size += len(held[-1][3])
+                if size >= SUFFIXES_AT_ONCE:
+                    yield _suffix_rows(held)
+                    held, size = [], 0
+        if held:
+            yield _suffix_rows(held)
 
 
 def _unique_runs(text: str, starts: set[int]) -> str:
@@ -170,7 +193,7 @@ def _unique_runs(text: str, starts: set[int]) -> str:
 
 
 def _join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
+    for frame in (f for frame in frames for f in _pieces(frame)):
         out = []
         for texts, kept, repeated in zip(frame["texts"], frame["kept"], frame["repeated"]):
             starts: dict[int, set[int]] = {}
