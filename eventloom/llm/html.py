@@ -1,9 +1,9 @@
 """Main text of HTML pages: block structure first, then a host-wide suffix array over what it leaves open.
 
 Text inside an article (or main) element is kept; navigation, forms, notices and the like are dropped
-by element, role and class. Blocks outside both are undecided: their word streams are concatenated per
-host, suffixes are sorted by their first words, and runs that neighbours on several distinct pages share
-are boilerplate; unique runs stay.
+by element, role and class. Blocks outside both are undecided, also on pages that have an article: their
+word streams are concatenated per host, suffixes are sorted by their first words, and runs that neighbours
+on several distinct pages share are boilerplate; unique runs stay.
 """
 
 from __future__ import annotations
@@ -126,9 +126,9 @@ class _Blocks(HTMLParser):
 
 
 def page_blocks(html: str | None) -> list[tuple[str, bool]]:
-    """Text blocks of one page with whether an article or main element holds them.
+    """Text blocks of one page with whether an article or main element holds them; the others are undecided.
 
-    With such an element the undecided blocks are those outside it; null or empty html has no blocks.
+    Null or empty html has no blocks.
     """
     return _Blocks().result(html) if html else []
 
@@ -199,12 +199,7 @@ def _join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             starts: dict[int, set[int]] = {}
             for r in repeated if repeated is not None else ():
                 starts.setdefault(r["block"], set()).add(r["at"])
-            article = any(kept)
-            blocks = []
-            for i, (text, keep) in enumerate(zip(texts, kept)):
-                if not keep and article:
-                    continue  # beside an article that the page marks itself
-                blocks.append(text if keep else _unique_runs(text, starts.get(i, set())))
+            blocks = [text if keep else _unique_runs(text, starts.get(i, set())) for i, (text, keep) in enumerate(zip(texts, kept))]
             out.append("\n\n".join(b for b in blocks if b))
         yield frame[["page_id", "url"]].assign(text=out)
 
@@ -216,9 +211,9 @@ def host_of(url: Column) -> Column:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and the main text of every page.
 
-    A page with an article or main element has the text inside it. In any other page the undecided
-    blocks stay, without runs of RUN words (or whole shorter blocks) that at least MIN_PAGES distinct
-    pages of the host share. Pages with equal text count as one page, so a page is not lost for having
+    The text inside an article or main element stays whole. The undecided blocks of all pages, also those
+    beside an article, stay without runs of RUN words (or whole shorter blocks)
+    that at least MIN_PAGES distinct pages of the host share. Pages with equal text count as one page, so a page is not lost for having
     copies. A null or empty html, or a page of boilerplate only, has an empty text; repeated rows stay.
     """
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
@@ -228,7 +223,7 @@ def extract(pages: DataFrame) -> DataFrame:
         ),
         "blocks",
     )
-    open_pages = parsed.where(~F.exists("kept", lambda k: k) & (F.size("texts") > 0))
+    open_pages = parsed.where(F.exists("kept", lambda k: ~k))
     suffixes = open_pages.mapInPandas(_suffixes, "host string, name bigint, row bigint, block int, at int")
     content = open_pages.select("row", F.xxhash64("texts").alias("content"))
     suffixes = settle(suffixes.join(content, "row"), "suffixes")

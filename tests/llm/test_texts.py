@@ -60,6 +60,14 @@ def test_runs_shared_by_pages_of_a_host_go(spark):
     assert set(texts_of(html.extract(pages(spark, same))).values()) == {f"{bar}\n\n{body[0]}\n\nImprint"}
 
 
+def test_blocks_beside_an_article_meet_the_suffix_sort(spark):
+    bar = "Welcome to our site please read the house rules today"
+    page = "<body><div>{}</div><article><p>Teaser {}</p></article><div>{}</div></body>"
+    body = [" ".join(f"body{i}w{k}" for k in range(40)) for i in range(4)]
+    got = texts_of(html.extract(pages(spark, [(i, f"http://h.org/{i}", page.format(bar, i, t)) for i, t in enumerate(body)])))
+    assert got == {i: f"Teaser {i}\n\n{t}" for i, t in enumerate(body)}
+
+
 def test_no_pages(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
