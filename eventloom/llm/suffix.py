@@ -105,11 +105,12 @@ def _repeated(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return twice, first
 
 
-def _emit(doc: np.ndarray, position: np.ndarray, low: np.ndarray, high: np.ndarray, buckets: int, width: int) -> Iterator[tuple]:
-    """Rows of BLOB: entries known to repeat (done), and one entry per name for its bucket."""
+def _emit(doc: np.ndarray, position: np.ndarray, names: np.ndarray, high: np.ndarray, buckets: int, width: int) -> Iterator[tuple]:
+    """Rows of BLOB: entries known to repeat (done), and one entry per whole name, of which its bucket gets the top `width` bytes."""
     if not len(doc):
         return
-    twice, first = _repeated(low)
+    twice, first = _repeated(names)
+    low = names >> np.uint64(64 - 8 * width)
     bucket = (high % np.uint64(buckets)).astype(np.int32)
     for done, keep in ((True, twice), (False, first)):
         at = np.flatnonzero(keep)
@@ -122,8 +123,8 @@ def _emit(doc: np.ndarray, position: np.ndarray, low: np.ndarray, high: np.ndarr
         edges = np.flatnonzero(np.r_[True, where[1:] != where[:-1], True]) if len(at) else []
         for a, z in zip(edges[:-1], edges[1:]):
             some = at[a:z]
-            names = b"" if done else low[some].view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-            yield (int(where[a]), done, *_by_document(doc[some], position[some]), names)
+            packed = b"" if done else low[some].view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+            yield (int(where[a]), done, *_by_document(doc[some], position[some]), packed)
 
 
 def _rows(entries: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -156,7 +157,7 @@ def _sample(length: int, buckets: int):
             starts = offsets[row] + position
             names = span_hashes(data, starts, starts + short)
             # The bucket takes low bits, the stored name the high ones: together they are the fingerprint.
-            yield from _rows(_emit(ids[row], position, names >> np.uint64(32), names, buckets, 4))
+            yield from _rows(_emit(ids[row], position, names, names, buckets, 4))
 
     return run
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,22 @@ def test_cut_of_the_given_documents(spark):
     assert cut_of(frame(spark, []), 400) == []
 
 
+def test_names_that_share_their_top_bytes_all_reach_a_bucket(monkeypatch):
+    hashes = suffix.span_hashes
+    monkeypatch.setattr(suffix, "span_hashes", lambda *a: hashes(*a) & np.uint64(0xFFFFFFFF))
+    random = np.random.default_rng(9)
+    texts = ["".join(random.choice(list("abcdefgh"), n)) for n in (900, 700)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], ["doc_id", "text"])
+    rows = [r for b in suffix._sample(400, 5)([batch]) for r in b.to_pylist()]
+    v, cover = suffix.difference_cover(11)
+    sampled = {(i + 1, p) for i, t in enumerate(texts) for p in range(len(t) - 400 + v) if p % v in cover}
+    sent, settled = (
+        [e for r in rows if r["done"] == done for e in zip(*(x.tolist() for x in suffix._pairs(r["docs"], r["counts"], r["positions"])))]
+        for done in (False, True)
+    )
+    assert sorted(sent) == sorted(sampled) and not settled
+
+
 def test_clean_texts_lose_whole_characters_only(spark):
     passage = "€" * 40
     out = {r["doc_id"]: r["text"] for r in suffix.without_repeats(frame(spark, [(1, "a" + passage + "b"), (2, passage[:-1] + "c"), (3, None)]), 101).collect()}
