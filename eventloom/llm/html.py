@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -44,57 +45,114 @@ _DROP_WORD = frozenset(
     " masthead comment comments reply replies disqus respond discussion share sharing social related recommended newsletter"
     " subscribe subscription signup login search widget toolbar pagination pager skip".split()
 )
+# Class or id tokens of several words that are dropped besides those made of the words above alone.
+_DROP_TOKEN = frozenset(
+    "related-posts related-articles comments-area comments-section comments-list comment-list comment-form share-buttons"
+    " social-links site-footer page-footer site-nav site-navigation main-nav main-menu main-navigation ad-slot ad-container"
+    " ad-unit cookie-bar newsletter-form search-form login-form disqus-thread".split()
+)
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+_BOXES = frozenset("div ul ol dl table".split())  # whose ids count inside an article
+_SECTION_IDS = frozenset("comment comments disqus disqus-thread".split())  # ids of a section inside an article that count
 _CLOSES_P = _BLOCK - {"html", "body"}
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Za-z]+")
 
 
+def _dashed(token: str) -> str:
+    return "-".join(n.lower() for n in _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token)))
+
+
+def _drop_token(token: str) -> bool:
+    name = _dashed(token)
+    return bool(name) and (name in _DROP_TOKEN or all(n in _DROP_WORD for n in name.split("-")))
+
+
+class _Open(NamedTuple):
+    """An open element and what holds there."""
+
+    tag: str
+    dropped: bool  # by element, role or style, here or above
+    region: int  # innermost region dropped by class or id, or -1
+    inside: bool  # an article or main
+    in_article: bool
+
+    @property
+    def kept(self) -> bool:
+        return self.inside and not self.dropped and self.region < 0
+
+
+_TOP = _Open("", False, -1, False, False)
+
+
 class _Blocks(HTMLParser):
-    """Blocks of text in page order: (text, inside an article or main)."""
+    """Blocks of text in page order: (text, inside an article or main).
+
+    An element that a class or an id drops is a region. A region that turns out to hold an article or main
+    is not dropped: its blocks, those of the article too, are undecided. Within an article it stays dropped,
+    as an article in an article is a comment or teaser.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool]] = []  # tag, dropped here or above, kept here or above
-        self.text: list[str] = []
-        self.blocks: list[tuple[str, bool]] = []
+        self.stack: list[_Open] = []
+        self.text: list[tuple[str, int, bool]] = []  # piece, region, kept
+        self.pieces: list[list[tuple[str, int, bool]]] = []  # of each block
+        self.regions: list[tuple[int, bool]] = []  # region around it, whether it holds an article
 
     def _flush(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.text)).strip()
-        self.text.clear()
-        if text:
-            self.blocks.append((text, bool(self.stack) and self.stack[-1][2]))
+        if self.text:
+            self.pieces.append(self.text)
+            self.text = []
 
-    def _drops(self, tag: str, attrs: list[tuple[str, str | None]], kept: bool) -> bool:
-        if tag in _DROP or (tag == "header" and not kept):
+    def _drops(self, tag: str, values: dict[str, str], inside: bool) -> bool:
+        if tag in _DROP or (tag == "header" and not inside):
             return True
-        values = {k: (v or "") for k, v in attrs}
         if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
             return True
         if re.search(r"display\s*:\s*none", values.get("style", ""), re.I):
             return True
-        if values.get("role", "").lower() in _DROP_ROLE:
-            return True
+        return values.get("role", "").lower() in _DROP_ROLE
+
+    def _named(self, tag: str, values: dict[str, str], inside: bool) -> bool:
+        """Whether a class or the id, taken whole, names something else than main text."""
         if tag in ("html", "body", "main"):
             return False
-        names = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", values.get("class", "") + " " + values.get("id", "")))
-        return any(n.lower() in _DROP_WORD for n in names)
+        if any(_drop_token(t) for t in values.get("class", "").split()):
+            return True
+        name = values.get("id", "").strip()
+        if not name or tag in _HEADING:
+            return False
+        if inside and tag not in _BOXES:
+            return tag == "section" and _dashed(name) in _SECTION_IDS
+        return _drop_token(name)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _BLOCK:
             self._flush()
-            if tag in _CLOSES_P and any(t == "p" for t, _, _ in self.stack):
-                last = max(i for i, (t, _, _) in enumerate(self.stack) if t == "p")
-                inner = {t for t, _, _ in self.stack[last + 1 :]}
+            if tag in _CLOSES_P and any(o.tag == "p" for o in self.stack):
+                last = max(i for i, o in enumerate(self.stack) if o.tag == "p")
+                inner = {o.tag for o in self.stack[last + 1 :]}
                 if not inner & _BLOCK:  # an open paragraph ends; inline elements left open end with it
                     del self.stack[last:]
         elif tag == "br":
-            self.text.append(" ")
+            self._add(" ")
         if tag in _VOID:
             return
-        _, dropped, kept = self.stack[-1] if self.stack else ("", False, False)
-        dropped = dropped or self._drops(tag, attrs, kept)
-        kept = kept or tag in ("article", "main") or dict(attrs).get("role") in ("main", "article")
-        self.stack.append((tag, dropped, kept and not dropped))
+        values = {k: (v or "") for k, v in attrs}
+        _, dropped, region, inside, in_article = self.stack[-1] if self.stack else _TOP
+        dropped = dropped or self._drops(tag, values, inside)
+        opens = tag in ("article", "main") or values.get("role") in ("main", "article")
+        if not dropped and self._named(tag, values, inside):
+            self.regions.append((region, False))
+            region = len(self.regions) - 1
+        if opens and not dropped and not in_article:
+            around = region
+            while around >= 0 and not self.regions[around][1]:
+                self.regions[around] = (self.regions[around][0], True)
+                around = self.regions[around][0]
+        in_article = in_article or tag == "article" or values.get("role") == "article"
+        self.stack.append(_Open(tag, dropped, region, inside or opens, in_article))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -107,13 +165,22 @@ class _Blocks(HTMLParser):
         if tag in _BLOCK:
             self._flush()
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
+            if self.stack[i].tag == tag:
                 del self.stack[i:]
                 return
 
     def handle_data(self, data: str) -> None:
-        if not (self.stack and self.stack[-1][1]):
-            self.text.append(data)
+        self._add(data)
+
+    def _add(self, data: str) -> None:
+        top = self.stack[-1] if self.stack else _TOP
+        if not top.dropped:
+            self.text.append((data, top.region, top.kept))
+
+    def _block(self, pieces: list[tuple[str, int, bool]]) -> tuple[str, bool]:
+        held = [p for p in pieces if p[1] < 0 or self.regions[p[1]][1]]
+        text = _SPACE.sub(" ", "".join(p[0] for p in held)).strip()
+        return text, any(kept for piece, _, kept in held if not piece.isspace())
 
     def result(self, html: str) -> list[tuple[str, bool]]:
         try:
@@ -122,7 +189,7 @@ class _Blocks(HTMLParser):
         except AssertionError:  # malformed declarations: what was read so far stands
             pass
         self._flush()
-        return self.blocks
+        return [b for b in map(self._block, self.pieces) if b[0]]
 
 
 def page_blocks(html: str | None) -> list[tuple[str, bool]]:

@@ -68,6 +68,22 @@ def test_blocks_beside_an_article_meet_the_suffix_sort(spark):
     assert got == {i: f"Teaser {i}\n\n{t}" for i, t in enumerate(body)}
 
 
+def test_class_tokens_count_whole_and_never_drop_an_article():
+    blocks = lambda h: [t for t, _ in html.page_blocks(h)]
+    article = "<article{}><h1>Title</h1><p>Text</p></article>"
+    for around in ("has-sidebar", "no-sidebar", "sidebar", "page overlay"):
+        assert blocks(f"<div class='{around}'>{article.format('')}</div>") == ["Title", "Text"]
+    for own in ("post comments-open", "notice", "post related"):
+        assert blocks(article.format(f" class='{own}'")) == ["Title", "Text"]
+    inner = "<h2 id='social-impact'>Impact</h2><h2 id='search'>Search</h2><section id='related-work'><p>Work</p></section><section id='discussion'>Why</section>"
+    assert blocks(f"<article>{inner}</article>") == ["Impact", "Search", "Work", "Why"]
+    # still dropped: whole tokens that hold no article, and articles within an article's comments
+    assert blocks("<div class='ad'>Buy</div><div class='x sidebar'>Side</div><div id='navMenu'>Go</div><p>Text</p>") == ["Text"]
+    assert blocks("<article><p>Text <span class='share'>Share</span> it</p><div class='comments'><article>First!</article></div></article>") == ["Text it"]
+    # undecided, not kept, inside a region of that kind
+    assert html.page_blocks("<div class='sidebar'>Side<article>Text</article></div><main>Main</main>") == [("Side", False), ("Text", False), ("Main", True)]
+
+
 def test_no_pages(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
