@@ -169,6 +169,15 @@ class _Blocks(HTMLParser):
                 del self.stack[i:]
                 return
 
+    def parse_html_declaration(self, i: int) -> int:
+        """As HTML has it, '<![' begins a comment up to '>', but for CDATA in svg and math."""
+        if not self.rawdata.startswith("<![", i):
+            return super().parse_html_declaration(i)
+        if self.rawdata.startswith("<![CDATA[", i) and any(o.tag in ("svg", "math") for o in self.stack):
+            end = self.rawdata.find("]]>", i)
+            return end + 3 if end >= 0 else -1
+        return self.parse_bogus_comment(i)
+
     def handle_data(self, data: str) -> None:
         self._add(data)
 
@@ -183,11 +192,8 @@ class _Blocks(HTMLParser):
         return text, any(kept for piece, _, kept in held if not piece.isspace())
 
     def result(self, html: str) -> list[tuple[str, bool]]:
-        try:
-            self.feed(html)
-            self.close()
-        except AssertionError:  # malformed declarations: what was read so far stands
-            pass
+        self.feed(html)
+        self.close()
         self._flush()
         return [b for b in map(self._block, self.pieces) if b[0]]
 

@@ -84,6 +84,12 @@ def test_class_tokens_count_whole_and_never_drop_an_article():
     assert html.page_blocks("<div class='sidebar'>Side<article>Text</article></div><main>Main</main>") == [("Side", False), ("Text", False), ("Main", True)]
 
 
+@pytest.mark.parametrize("odd", ["<![foo]>", "<![>", "<![0]>", "<![ x>", "<![endif]>", "<![if !IE]>", "<![CDATA[x]]>", "<svg><![CDATA[</svg>]]></svg>"])
+def test_odd_declarations_are_comments(odd):
+    assert html.page_blocks(f"<p>a</p>{odd}<p>b</p>") == [("a", False), ("b", False)]
+    assert html.page_blocks(f"<p>a</p><p>b if a<![0]") == [("a", False), ("b if a<![0]", False)]
+
+
 def test_no_pages(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
