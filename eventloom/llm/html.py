@@ -2,8 +2,9 @@
 
 Text inside an article (or main) element is kept; navigation, forms, notices and the like are dropped
 by element, role and class. Blocks outside both are undecided, also on pages that have an article: their
-word streams are concatenated per host, suffixes are sorted by their first words, and runs that neighbours
-on several distinct pages share are boilerplate; unique runs stay.
+word streams are concatenated per host and suffixes are sorted by their first words. Windows of words that
+a good part of the host's distinct pages share are boilerplate where they make up a long run or nearly all
+of a block; all else stays.
 """
 
 from __future__ import annotations
@@ -18,13 +19,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.frames import settle
+from eventloom.llm.frames import join_small, settle
 from eventloom.llm.words import mix
 
-RUN = 6  # words of a repeated run
+RUN = 6  # words of a window
+LONG_RUN = 20  # words of a run of shared windows that goes from any block
+NEARLY = 0.8  # of a block's words in shared windows: these go, however short
 PAGES_AT_ONCE = 500  # pages whose blocks a task holds
 SUFFIXES_AT_ONCE = 50_000  # suffix rows a task holds
-MIN_PAGES = 3  # distinct pages that share it
+MIN_PAGES = 3  # distinct pages that share a window
+MIN_SHARE = 0.5  # of the host's distinct pages that share it
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 # Elements without an end tag, elements that begin a block, elements without main text.
@@ -260,8 +264,19 @@ def _suffixes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _unique_runs(text: str, starts: set[int]) -> str:
+    if not starts:
+        return text
     words = text.split(" ")
-    covered = {i for s in starts for i in range(s, min(s + RUN, len(words)))}
+    runs: list[list[int]] = []  # of windows that begin at one word after another
+    for s in sorted(starts):
+        if runs and runs[-1][1] == s - 1:
+            runs[-1][1] = s
+        else:
+            runs.append([s, s])
+    spans = [range(a, min(z + RUN, len(words))) for a, z in runs]
+    covered = {i for span in spans for i in span}
+    if len(covered) < NEARLY * len(words):
+        covered = {i for span in spans if len(span) >= LONG_RUN for i in span}
     return " ".join(w for i, w in enumerate(words) if i not in covered)
 
 
@@ -285,30 +300,34 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and the main text of every page.
 
     The text inside an article or main element stays whole. The undecided blocks of all pages, also those
-    beside an article, stay without runs of RUN words (or whole shorter blocks)
-    that at least MIN_PAGES distinct pages of the host share. Pages with equal text count as one page, so a page is not lost for having
+    beside an article, stay without repeats: windows of RUN words (or whole shorter blocks) that at least
+    MIN_PAGES distinct pages and MIN_SHARE of the host's distinct pages share, if they are a run of LONG_RUN
+    words or nearly all of the block. A page whose url has no host shares with no other page. Pages with equal text count as one page, so a page is not lost for having
     copies. A null or empty html, or a page of boilerplate only, has an empty text; repeated rows stay.
     """
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     parsed = settle(
         rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
             _parse, "page_id bigint, url string, host string, row bigint, texts array<string>, kept array<boolean>"
-        ),
+        ).withColumns({"content": F.xxhash64("texts"), "undecided": F.size(F.filter("kept", lambda k: ~k))}),
         "blocks",
     )
-    open_pages = parsed.where(F.exists("kept", lambda k: ~k))
+    open_pages = parsed.where("undecided > 0 and host <> ''")
     suffixes = open_pages.mapInPandas(_suffixes, "host string, name bigint, row bigint, block int, at int")
-    content = open_pages.select("row", F.xxhash64("texts").alias("content"))
-    suffixes = settle(suffixes.join(content, "row"), "suffixes")
+    suffixes = settle(suffixes.join(open_pages.select("row", "content"), "row"), "suffixes")
+    sizes = settle(
+        parsed.where("host <> '' and size(texts) > 0").groupBy("host").agg(F.count_distinct("content").alias("of")), "hosts"
+    )
+    counts = suffixes.groupBy("host", "name").agg(F.count_distinct("content").alias("pages"))
     shared = (
-        suffixes.groupBy("host", "name")
-        .agg(F.count_distinct("content").alias("pages"))
-        .where(F.col("pages") >= MIN_PAGES)
-        .drop("pages")
+        join_small(counts.where(F.col("pages") >= MIN_PAGES), sizes, "host", "inner")
+        .where(F.col("pages") >= MIN_SHARE * F.col("of"))
+        .select("host", "name")
     )
     repeated = (
         suffixes.join(shared, ["host", "name"], "left_semi")
         .groupBy("row")
         .agg(F.collect_list(F.struct("block", "at")).alias("repeated"))
     )
-    return parsed.join(repeated, "row", "left").mapInPandas(_join, "page_id bigint, url string, text string")
+    whole = parsed.drop("content", "undecided").join(repeated, "row", "left")
+    return whole.mapInPandas(_join, "page_id bigint, url string, text string")

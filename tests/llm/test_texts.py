@@ -90,6 +90,17 @@ def test_odd_declarations_are_comments(odd):
     assert html.page_blocks(f"<p>a</p><p>b if a<![0]") == [("a", False), ("b if a<![0]", False)]
 
 
+def test_phrases_of_running_prose_stay(spark):
+    phrase, bar = "as we have said many times before", " ".join(f"bar{k}" for k in range(30))
+    prose = lambda i: f"p{i} q{i} r{i} s{i} {phrase} t{i} u{i} v{i} w{i}"
+    # 12 pages: all hold the bar, with a word of their own after it, 4 the heading, all the phrase
+    rows = [(i, f"http://h.org/{i}", f"<h2>{'Introduction' if i < 4 else f'Head {i}'}</h2><p>{prose(i)}</p><div>{bar} n{i}</div>") for i in range(12)]
+    rows += [(100 + i, u, f"<p>Same words here</p><p>{prose(i)}</p>") for i, u in enumerate([None, "/a", "b", None])]
+    got = texts_of(html.extract(pages(spark, rows)))
+    want = {i: f"{'Introduction' if i < 4 else f'Head {i}'}\n\n{prose(i)}\n\nn{i}" for i in range(12)}
+    assert got == want | {100 + i: f"Same words here\n\n{prose(i)}" for i in range(4)}
+
+
 def test_no_pages(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
