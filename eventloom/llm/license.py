@@ -2,12 +2,16 @@
 
 A candidate block is compressed alone and with each template as a raw zstandard dictionary; the relative
 size reductions rank the templates, and the winner must then agree word for word up to a few differences.
+Candidates are the lines around cues and, wherever a cue stands, windows of words as long as a template and
+placed so that the cue is where the template has one: across line breaks, and inside lines of any length.
 """
 
 from __future__ import annotations
 
 import difflib
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -66,7 +70,10 @@ TEMPLATES = {
 CUES = ("licens", "licenc", "permission is hereby", "redistribut", "public domain", "free software", "creative commons", "cc by", "cc0")
 MIN_REDUCTION = 0.3  # of the compressed size, by the best template
 MAX_DIFFERENCE = 0.15  # words that differ, of the template's
+MIN_COMMON = 0.25  # of the template's words in a window, below which compressing it is of no use
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_ANY_WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*")
+_CUE = re.compile("|".join(cue.replace(" ", "[^A-Za-z0-9]+") for cue in CUES), re.IGNORECASE)
 RESULT = (
     "doc_id bigint, start bigint, length bigint, license_id string, reduction double, words_missing array<string>,"
     " words_changed array<string>, confirmed boolean, block string"
@@ -86,9 +93,94 @@ class Scanner:
             for name, texts in sorted(templates.items())
             for text in texts
         ]
+        # For each template its words as a bag, and which of its words begin cues.
+        self.bags = [Counter(wanted) for _, wanted, _ in self.known]
+        self.cues = [_cue_words(text) or [0] for _, texts in sorted(templates.items()) for text in texts]
+        self.seen: dict[tuple[int, str], float] = {}
+        self.judged: dict[str, tuple | None] = {}
+
+    def notices(self, text: str) -> list[tuple[int, str, tuple]]:
+        """(start, block, judgement) of the notices of a text, in order; none overlaps another.
+
+        Of overlapping candidates the confirmed ones come first, then those that agree with a template in
+        more words, differ in fewer, reduce more, are shorter.
+        """
+        found = []
+        for start, block in candidate_blocks(text):
+            if block not in self.judged:
+                if len(self.judged) > 10_000:
+                    self.judged.clear()
+                self.judged[block] = self.judge(block)
+            if self.judged[block]:
+                found.append((start, block, self.judged[block]))
+        if found or _CUE.search(text):
+            found += self._windows(text)
+
+        def rank(x: tuple[int, str, tuple]) -> tuple:
+            name, reduction, missing, changed, confirmed, agreed = x[2]
+            return not confirmed, -agreed, len(missing) + len(changed), -reduction, len(x[1]), x[0], name
+
+        kept: list[tuple[int, int, tuple]] = []  # start, end, notice; by place
+        for x in sorted(found, key=rank):
+            start, end = x[0], x[0] + len(x[1])
+            at = bisect_right(kept, start, key=lambda k: k[0])
+            if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+                kept.insert(at, (start, end, x))
+        return [x for _, _, x in kept]
+
+    def _windows(self, text: str) -> Iterator[tuple[int, str, tuple]]:
+        """The best window of each cue, from the first to the last word that agrees with its template."""
+        places = [m.span() for m in _ANY_WORD.finditer(text)]
+        starts = [a for a, _ in places]
+        words = [text[a:z].lower() for a, z in places]
+        for cue in dict.fromkeys(bisect_right(starts, m.start()) - 1 for m in _CUE.finditer(text)):
+            if cue < 0:
+                continue
+            ranked = []
+            for i, (bag, at) in enumerate(zip(self.bags, self.cues)):
+                n = len(self.known[i][1])
+                for p in at:
+                    low, high = max(cue - p, 0), min(cue - p + n, len(words))
+                    if (Counter(words[low:high]) & bag).total() >= MIN_COMMON * n:
+                        reduction = self._reduction(i, text[places[low][0] : places[high - 1][1]])
+                        if reduction >= MIN_REDUCTION:
+                            ranked.append((reduction, i, p))
+            best = max(ranked, default=(0, 0, 0))[0]
+            fits = []
+            for reduction, i, p in ranked:
+                if reduction < best - 0.1:
+                    continue
+                wanted = self.known[i][1]
+                n, slack = len(wanted), 1 + int(MAX_DIFFERENCE * len(wanted))
+                low, high = max(cue - p - slack, 0), min(cue - p + n + slack, len(words))
+                same = [m for m in difflib.SequenceMatcher(None, wanted, words[low:high], autojunk=False).get_matching_blocks() if m.size]
+                first, last = low + same[0].b, low + same[-1].b + same[-1].size
+                if not first <= cue < last:
+                    continue
+                end = places[last - 1][1]
+                end += len(re.match(r"[^\sA-Za-z0-9]*", text[end:]).group()) if end < len(text) else 0
+                missing, changed = self._differences(wanted, words[first:last])
+                agreed = n - len(missing)
+                fits.append((not self._confirms(wanted, missing, changed), -agreed, len(missing) + len(changed), -reduction, i, starts[first], end, missing, changed))
+            if fits:
+                off, agreed, _, _, i, start, end, missing, changed = min(fits)
+                block = text[start:end]
+                yield start, block, (self.known[i][0], self._reduction(i, block), missing, changed, not off, -agreed)
+
+    def _reduction(self, i: int, block: str) -> float:
+        if (i, block) not in self.seen:
+            if len(self.seen) > 10_000:
+                self.seen.clear()
+            data = _plain(block)
+            self.seen[i, block] = 1 - len(self.known[i][2].compress(data)) / len(self.plain.compress(data))
+        return self.seen[i, block]
+
+    @staticmethod
+    def _confirms(wanted: list[str], missing: list[str], changed: list[str]) -> bool:
+        return len(missing) + len(changed) <= MAX_DIFFERENCE * len(wanted) and not any(w[0].isdigit() for w in missing + changed)
 
     def judge(self, block: str) -> tuple | None:
-        """(license, reduction, missing words, other words, confirmed) of the best template, if it reduces enough.
+        """(license, reduction, missing words, other words, confirmed, words that agree) of the best template, if it reduces enough.
 
         Equal reductions go to the template with fewer differing words, then to the first name.
         """
@@ -103,10 +195,7 @@ class Scanner:
         judged = [(*self._differences(self.known[i][1], words), r, i) for r, i in near]
         missing, changed, reduction, i = min(judged, key=lambda x: (len(x[0]) + len(x[1]), -x[2], x[3]))
         name, wanted, _ = self.known[i]
-        confirmed = len(missing) + len(changed) <= MAX_DIFFERENCE * len(wanted) and not any(
-            w[0].isdigit() for w in missing + changed
-        )
-        return name, reduction, missing, changed, confirmed
+        return name, reduction, missing, changed, self._confirms(wanted, missing, changed), len(wanted) - len(missing)
 
     @staticmethod
     def _differences(wanted: list[str], words: list[str]) -> tuple[list[str], list[str]]:
@@ -121,6 +210,12 @@ def _plain(text: str) -> bytes:
     return " ".join(text.lower().split()).encode()
 
 
+def _cue_words(text: str) -> list[int]:
+    """The words of a text in which cues begin, by number."""
+    starts = [m.start() for m in _ANY_WORD.finditer(text)]
+    return list(dict.fromkeys(bisect_right(starts, m.start()) - 1 for m in _CUE.finditer(text)))
+
+
 def candidate_blocks(text: str) -> Iterator[tuple[int, str]]:
     """(start, block): lines that hold a cue, each joined with directly following lines that hold one too."""
     lower = text.lower()
@@ -142,26 +237,20 @@ def candidate_blocks(text: str) -> Iterator[tuple[int, str]]:
 
 def _scan(templates: dict[str, tuple[str, ...]]):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner, known = Scanner(templates), {}
+        scanner = Scanner(templates)
         names = [c.split()[0] for c in RESULT.split(", ")]
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                for start, block in candidate_blocks(text or ""):
-                    if block not in known:
-                        if len(known) > 10_000:
-                            known.clear()
-                        known[block] = scanner.judge(block)
-                    if known[block]:
-                        name, reduction, missing, changed, confirmed = known[block]
-                        rows.append((doc_id, start, len(block), name, reduction, missing, changed, confirmed, block))
+                for start, block, (name, reduction, missing, changed, confirmed, _) in scanner.notices(text or ""):
+                    rows.append((doc_id, start, len(block), name, reduction, missing, changed, confirmed, block))
             yield pd.DataFrame(rows, columns=[n.split(":")[0] for n in names])
 
     return run
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
-    """One row per license block found: document, place in code points, license, reduction, word differences.
+    """One row per license notice found: document, place in code points, license, reduction, word differences.
 
     `confirmed` is false where the nearest license differs in a number or in more than MAX_DIFFERENCE of
     its words. Null and empty texts have no blocks; repeated rows are scanned each on their own.

@@ -3,9 +3,11 @@
 import base64
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -285,6 +287,25 @@ def test_licenses(spark):
     assert not got[7][2]
 
 
+def test_license_notices_inside_long_lines_and_wrapped(spark):
+    random = np.random.default_rng(4)
+    prose = lambda n: " ".join("".join(random.choice(list("abcdefghij"), 6)) for _ in range(n))
+    mit, gpl = license.TEMPLATES["MIT"][2], license.TEMPLATES["GPL-3.0"][1]
+    notices = [("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Released under the MIT License.", "MIT"), (mit, "MIT"), (gpl, "GPL-3.0")]
+    texts = [f"{prose(500)} {n} {prose(500)}" for n, _ in notices]
+    texts += [f"{prose(20)}\n{textwrap.fill(n, 70)}\n{prose(20)}" for n in (mit, gpl)]
+    texts += [" * " + textwrap.fill(mit, 60).replace("\n", "\n * "), f"{prose(9)} Released under the MIT License. Licensed under CC BY 4.0. {prose(9)}"]
+    got = defaultdict(list)
+    for r in license.scan(docs(spark, texts)).collect():
+        assert r["confirmed"] and texts[r["doc_id"]][r["start"] : r["start"] + r["length"]] == r["block"]
+        got[r["doc_id"]].append((r["start"], " ".join(r["block"].split()), r["license_id"]))
+    want = {i: [(texts[i].index(n), n, name)] for i, (n, name) in enumerate(notices)}
+    want |= {i: [(texts[i].index(n[:10]), n, name)] for i, n, name in ((4, mit, "MIT"), (5, gpl, "GPL-3.0"))}
+    assert {i: got[i] for i in want} == want
+    assert [x[2] for x in got[6]] == ["MIT"] and len(got[6][0][1]) > len(mit)
+    assert [x[1:] for x in sorted(got[7])] == [("Released under the MIT License.", "MIT"), ("Licensed under CC BY 4.0.", "CC-BY-4.0")]
+
+
 @pytest.mark.parametrize("name", ["op1_html_extraction", "op3_warc_index", "op4_quality_rules", "op8_license_scan"])
 def test_queries_run_over_whole_tables(spark, name):
     source = {"op1": "pages", "op3": "pages", "op4": "documents"}.get(name[:3])
