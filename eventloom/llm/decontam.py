@@ -4,9 +4,10 @@ Test items are short and documents long, so a document's Jaccard similarity with
 tiny. Items are therefore partitioned by size, and for each partition of sizes up to m every document is
 seen through windows of 2 m shingles, m apart: a passage of up to m shingles lies whole in one of them,
 where its similarity with the item is at least about 0.19 for a containment of 0.8. With 64 one-row bands
-a candidate is then missed with a probability of about 1e-6. Candidates are verified by the exact share of
-the item's shingles that the whole document holds. An item whose shingles lie scattered over much more
-than its own length is not searched for.
+a candidate is then missed with a probability of about 1e-6. Items of up to SMALLEST shingles are not left
+to chance: every document that holds one of their shingles is a candidate. Candidates are verified by the
+exact share of the item's shingles that the whole document holds. A longer item whose shingles lie scattered
+over much more than its own length is not searched for.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from eventloom.llm.words import buffer_of, slices, texts_shingles, word_hashes,
 
 WIDTH, PERCENT = 5, 80
 BANDS = 64
-SMALLEST = 8  # shingles of the smallest size partition
+SMALLEST = 8  # shingles of the smallest size partition, whose items are looked up by shingle
 ITEMS_AT_ONCE = 20_000  # items told to every task in one pass over the documents
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 RESULT = "doc_id bigint, item_id bigint, item_shingles bigint, common bigint, containment double"
@@ -40,15 +41,19 @@ def _level(size: int) -> int:
 
 
 class ItemIndex:
-    """Band values of all items by size partition, and their shingles for verification."""
+    """Shingles of the smallest items, band values of the others by size partition, all shingles for verification."""
 
     def __init__(self, ids: list[int], texts: list[str], width: int) -> None:
         sets = texts_shingles(pa.array(texts, pa.large_string()), width, False)
         factors, shifts = _band_factors()
         self.width = width
         self.items = [(i, s) for i, s in zip(ids, sets) if len(s)]
+        small = [k for k, (_, s) in enumerate(self.items) if not _level(len(s))]
+        shingles = np.concatenate([np.zeros(0, np.uint64), *(self.items[k][1] for k in small)])
+        order = np.argsort(shingles, kind="stable")
+        self.small = shingles[order], np.repeat(np.array(small, np.int64), [len(self.items[k][1]) for k in small])[order]
         self.levels: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for level in sorted({_level(len(s)) for _, s in self.items}):
+        for level in sorted({_level(len(s)) for _, s in self.items} - {0}):
             members = np.array([k for k, (_, s) in enumerate(self.items) if _level(len(s)) == level])
             bands = []
             for a, b in zip(factors, shifts):
@@ -57,8 +62,28 @@ class ItemIndex:
                 bands.append((least[order], members[order]))
             self.levels[level] = bands
 
+    def _sharing(self, shingles: np.ndarray, firsts: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) pairs of the smallest items that share a shingle."""
+        known, members = self.small
+        if not len(known) or not len(shingles):
+            return set()
+        low = np.searchsorted(known, shingles, "left")
+        at = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == shingles)
+        doc = np.searchsorted(firsts, at, "right") - 1
+        found: set[tuple[int, int]] = set()
+        for d, a in np.unique(np.stack([doc, low[at]], axis=1), axis=0).tolist():
+            z = int(np.searchsorted(known, known[a], "right"))
+            found.update((d, k) for k in members[a:z].tolist())
+        return found
+
     def candidates(self, shingles: np.ndarray, firsts: np.ndarray) -> set[tuple[int, int]]:
-        """(document, item) pairs that share a band value in a window; firsts: each document's first shingle."""
+        """(document, item) pairs that share a band value in a window, or a shingle if the item is one of the smallest.
+
+        firsts: each document's first shingle.
+        """
+        return self._sharing(shingles, firsts) | self._banded(shingles, firsts)
+
+    def _banded(self, shingles: np.ndarray, firsts: np.ndarray) -> set[tuple[int, int]]:
         sizes = np.diff(firsts)
         blocks = -(-sizes // SMALLEST)  # of SMALLEST shingles, none across documents
         ends = np.cumsum(blocks)
@@ -126,11 +151,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, perc
     """One row per document and item of which the document holds at least `percent` % of the shingles.
 
     Words are compared with A-Z in lower case. Items or documents with fewer than `width` words, null or
-    empty ones, match nothing. Repeated documents are searched each on their own, repeated items once.
+    empty ones, match nothing; an item with a null item_id is searched for like any other. Repeated documents are searched each on their own, repeated items once.
     Items go to the tasks in passes of about ITEMS_AT_ONCE, so a pass's index has a bounded size.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").dropna().distinct()
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").where("text is not null").distinct()
     passes = max(1, -(-items.count() // ITEMS_AT_ONCE))
     results = []
     for turn in range(passes):

@@ -217,6 +217,16 @@ def test_leaks_of_all_sizes(spark, monkeypatch):
     assert decontam.contaminated(frame(spark, []), spark.createDataFrame(items, schema)).count() == 0
 
 
+def test_shortest_items_are_never_missed(spark):
+    items = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(3000)]
+    index = decontam.ItemIndex(list(range(3000)), items, 5)
+    docs = pa.array([f"{t} " + " ".join(f"{t[:4]}x{k}" for k in range(40)) for t in items], pa.large_string())
+    assert index.candidates(*decontam._rolled(docs, 5)) == {(i, i) for i in range(3000)}
+    known = spark.createDataFrame([(None, "One two three four five six"), (7, None)], "item_id bigint, text string")
+    found = decontam.contaminated(frame(spark, [(1, "zero one two three four five six"), (2, "one two")]), known)
+    assert [tuple(r) for r in found.collect()] == [(1, None, 2, 2, 1.0)]
+
+
 # Language model
 
 
