@@ -45,14 +45,15 @@ def _repeat_words(words: Column) -> Column:
     return F.when(n >= 4, bind(F.sort_array(windows), covered)).otherwise(0)
 
 
-def surface_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, words (array) and the base counts of every document; a null text has no words."""
+def surface_counts(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, carried columns, words (array) and the base counts of every document; a null text has no words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", text.alias("text"), _words(text).alias("words"))
+    split = docs.select("doc_id", *carried, text.alias("text"), _words(text).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     n_words = F.size("words").cast("bigint")
     counted = split.select(
         "doc_id",
+        *carried,
         "words",
         n_words.alias("n_words"),
         F.aggregate("words", F.lit(0).cast("bigint"), lambda a, w: a + F.char_length(w)).alias("word_chars"),
@@ -140,16 +141,16 @@ def fit_threshold(scored: DataFrame, labels: DataFrame) -> float | None:
     return best
 
 
-def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Every document with its counts, score and verdict `kept`.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score,
     kept. Rows stay as they are, repeated ones too; a null or empty text fails the base rules. Extra
-    columns of either table are ignored.
+    columns of either table are ignored, but for those of docs that are to be carried along.
     """
     ratio = fit_ratio(docs, labels)
     scored = settle(
-        surface_counts(docs).withColumn("score", score(F.col("words"), ratio)).drop("words"), "quality"
+        surface_counts(docs, carried).withColumn("score", score(F.col("words"), ratio)).drop("words"), "quality"
     )
     threshold = fit_threshold(scored, labels)
     passes = F.lit(True) if threshold is None else F.col("score") >= threshold

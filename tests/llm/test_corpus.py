@@ -305,6 +305,26 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark, tmp_path):
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [1, 2]
 
 
+def test_rows_without_an_own_id_have_their_own_verdict(spark, tmp_path):
+    text = lambda tag, n=80: " ".join(f"{tag}{i}" for i in range(n))
+    passage = text("shared", 90)
+    docs = spark.createDataFrame(
+        [(None, text("a")), (None, "junk"), (1, text("b")), (1, text("c")), (1, "short"), (None, text("b") + " x"), (2, text("d") + " " + passage), (None, text("e", 300) + " " + passage), (None, text("leak")), (3, text("f"))],
+        "doc_id bigint, text string",
+    )
+    spark.read.parquet(f"{SF_SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(9, text("leak", 30))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    at, seen = docs, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at = spark.createDataFrame(stage(spark, at, str(tmp_path)).collect(), docs.schema)
+        seen.append(sorted(((r["doc_id"] or 0, r["text"].split()[0], len(r["text"].split())) for r in at.collect())))
+    good = sorted([(0, "a0", 80), (1, "b0", 80), (1, "c0", 80), (0, "b0", 81), (2, "d0", 170), (0, "e0", 390), (0, "leak0", 80), (3, "f0", 80)])
+    assert seen[0] == good
+    assert seen[1] == [r for r in good if r != (0, "b0", 81)]
+    assert [r[:2] for r in seen[2]] == [r[:2] for r in seen[1]] and all(r[2] < 301 for r in seen[2])
+    assert seen[3] == [r for r in seen[2] if r[1] != "leak0"]
+
+
 def test_digest_columns(spark):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op7_suffix_dedup"](spark, SF_SMALL).collect()}
     for doc, size, removed, spans, kept in plain_cut(rows_of(real(spark)), 400):
