@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, decontam, html, jaccard, license, lm, packing, quality, suffix, warc
+from eventloom.llm import chat, decontam, html, jaccard, license, lm, merkle, oracles, packing, quality, suffix, warc
 from eventloom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,12 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @register
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.prove(merkle.build(merkle.document_leaves(docs, merkle.fifth(F.col("doc_id")))))
+
+
+ORACLES["op11_merkle_manifest"] = oracles.merkle_proofs()
