@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, decontam, html, jaccard, license, lm, merkle, oracles, packing, quality, suffix, warc
+from eventloom.llm import chat, chunk_bpe, decontam, html, jaccard, license, lm, merkle, oracles, packing, quality, suffix, warc
 from eventloom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,10 @@ def register(query: Query) -> Query:
     return query
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,3 +142,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_merkle_manifest"] = oracles.merkle_proofs()
+
+
+@register
+def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    return chunk_bpe.encode(table(spark, sf_dir, "documents"), path).mapInArrow(
+        chunk_bpe.digest_batches(path), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    )
