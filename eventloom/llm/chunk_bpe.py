@@ -144,7 +144,7 @@ class Coder:
         return np.concatenate(flat), np.array(sizes, np.int64)
 
     def decode(self, ids: list[int]) -> str:
-        return b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @functools.cache
@@ -286,9 +286,11 @@ def digest_batches(path: str):
         coder = _coder(path)
         for batch in batches:
             counts, of_ids, of_texts = [], [], []
-            for ids in (row.as_py() for row in batch.column("ids")):
+            bounds, flat = batch.column("ids").offsets.to_numpy(), batch.column("ids").values.to_numpy()
+            for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                ids = flat[a:z].tolist()
                 counts.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join([coder.decimal[i] for i in ids]).encode()).hexdigest())
+                of_ids.append(hashlib.sha256(",".join(map(coder.decimal.__getitem__, ids)).encode()).hexdigest())
                 of_texts.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
