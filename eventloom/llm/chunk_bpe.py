@@ -27,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.frames import settle
+from eventloom.llm.bitmaps import bitmap_of, is_set
+from eventloom.llm.frames import settle, settle_packed
 from eventloom.llm.words import buffer_of, slices, span_hashes
 
 WINDOW_DOUBLINGS = 5  # a window of 32 bytes
@@ -93,21 +94,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fp", "check", "n"])
 
 
-def _filter(shared: DataFrame) -> np.ndarray:
-    """A bitmap of 2^FILTER_BITS bits with the shared chunks' bits set, at most 2^(FILTER_BITS - 6) rows of it set in the driver."""
-    word = F.shiftrightunsigned("fp", 64 - FILTER_BITS + 6)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - FILTER_BITS}) & 63 as int))")
-    found = shared.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-    return bitmap.view(np.uint64)
-
-
-def _is_set(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    place = fp >> np.uint64(64 - FILTER_BITS)
-    return bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1) == 1
-
-
 class Coder:
     """A byte-level tokenizer as it is read, without truncation and padding, and the bytes of its tokens."""
 
@@ -173,7 +159,7 @@ def _split(path: str, bitmap: np.ndarray):
         coder, sent, seen = _coder(path), set(), TaskContext.get().partitionId() << 33
         for batch in (piece for batch in batches for piece in slices(batch, "text")):
             data, offsets, starts, ends, low, high, fp, check = _chunks(batch.column("text"))
-            raw, hit = data.tobytes(), _is_set(bitmap, fp)
+            raw, hit = data.tobytes(), is_set(bitmap, fp)
             starts, ends, low, high, fp, check = (x[hit] for x in (starts, ends, low, high, fp, check))
             refs = np.bincount(np.searchsorted(offsets, starts, "right") - 1, minlength=len(batch)) if len(starts) else np.zeros(len(batch), np.int64)
             gap_starts, gap_ends = np.sort(np.r_[offsets[:-1], high]), np.sort(np.r_[offsets[1:], low])
@@ -258,7 +244,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = docs.mapInArrow(_count, f"{CHUNK}, n bigint").groupBy("fp", "check").agg(F.sum("n").alias("n"))
     shared = settle(counted.where("n > 1"), "shared-chunks")
-    split = settle(docs.mapInArrow(_split(tokenizer, _filter(shared)), ROW), "split-documents")
+    split = settle_packed(docs.mapInArrow(_split(tokenizer, bitmap_of(shared, "fp", FILTER_BITS)), ROW), "split-documents")
     texts = split.where("chunk is not null").groupBy("fp", "check").agg(F.any_value("chunk").alias("chunk"))
     cores = settle(texts.mapInArrow(_encode_chunks(tokenizer), f"{CHUNK}, core binary"), "chunk-ids")
 

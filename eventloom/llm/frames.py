@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.session import settle
+from eventloom.session import fresh_dir, settle
 
-__all__ = ["bind", "join_small", "settle"]
+__all__ = ["bind", "join_small", "settle", "settle_packed"]
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -25,3 +25,10 @@ def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str,
     if small.limit(max_rows + 1).count() <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)
+
+
+def settle_packed(frame: DataFrame, label: str) -> DataFrame:
+    """settle() for a table of the input's size: compressed harder."""
+    spark, path = frame.sparkSession, fresh_dir(frame.sparkSession, label)
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -64,8 +64,8 @@ def test_shared_chunks_are_encoded_once(spark, monkeypatch):
     text = " ".join(f"word{i * 7919 % 1000}" for i in range(2000))
     docs = spark.createDataFrame([(i, f"start{i} {text} end{i}") for i in range(8)], "doc_id bigint, text string").repartition(4)
     kept = {}
-    keep = chunk_bpe.settle
-    monkeypatch.setattr(chunk_bpe, "settle", lambda frame, label: kept.setdefault(label, keep(frame, label)))
+    for name, keep in (("settle", chunk_bpe.settle), ("settle_packed", chunk_bpe.settle_packed)):
+        monkeypatch.setattr(chunk_bpe, name, lambda frame, label, keep=keep: kept.setdefault(label, keep(frame, label)))
     chunk_bpe.encode(docs, PATH)
     shared, cores, rows = kept["shared-chunks"], kept["chunk-ids"], kept["split-documents"].where("chunk is null")
     assert shared.count() == cores.count() > 5
