@@ -74,3 +74,35 @@ def merkle_proofs(levels: int = 5) -> str:
     return (
         f"WITH {', '.join(parts)} SELECT doc_id, leaf, subroot, root, proof_sha256, folded AS folded_root, folded = root AS verified FROM f{len(folds)}"
     )
+
+
+def collocations(least: int = 30, top: int = 2000, covered: int = 80) -> str:
+    """All phrases by joins of words with the words after them in their piece; HUGEINT where products need it."""
+    grams = ["SELECT lang, 1 AS k, w1 AS phrase FROM runs"]
+    for k in range(2, 5):
+        grams.append(f"SELECT lang, {k}, {' || chr(32) || '.join(f'w{i}' for i in range(1, k + 1))} FROM runs WHERE w{k} IS NOT NULL")
+    parts = "list_aggregate(words[{}], 'string_agg', ' ')"
+    inner = " UNION ALL ".join(
+        f"SELECT lang, {parts.format(f'{i}:{i + m - 1}')} AS phrase, f FROM cand WHERE k = {k}"
+        for k in (3, 4) for m in range(2, k) for i in range(1, k - m + 2)
+    )
+    cuts = " UNION ALL ".join(
+        f"SELECT lang, phrase, f, {c} AS cut, {parts.format(f'1:{c}')} AS lp, {parts.format(f'{c + 1}:k')} AS rp FROM rest WHERE k > {c}" for c in (1, 2, 3)
+    )
+    return f"""
+WITH pieces AS (
+    SELECT lang, piece, row_number() OVER () AS p FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+words AS (SELECT lang, p, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (SELECT lang, p, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces)),
+runs AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY p ORDER BY i)),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+freq AS (SELECT lang, k, phrase, count(*) AS f FROM ({' UNION ALL '.join(grams)}) GROUP BY lang, k, phrase HAVING count(*) >= {least}),
+cand AS (SELECT *, string_split(phrase, ' ') AS words FROM freq WHERE k > 1),
+longer AS (SELECT lang, phrase, max(f) AS m FROM ({inner}) GROUP BY lang, phrase),
+rest AS (SELECT c.* FROM cand c LEFT JOIN longer l ON l.lang = c.lang AND l.phrase = c.phrase WHERE l.m IS NULL OR 100 * l.m::HUGEINT < {covered} * c.f),
+scored AS (
+    SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, (2000000 * c.f::HUGEINT) // (x.f + y.f) AS score,
+        row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (2000000 * c.f::HUGEINT) // (x.f + y.f), cut) AS best
+    FROM ({cuts}) c JOIN freq x ON x.lang = c.lang AND x.phrase = c.lp JOIN freq y ON y.lang = c.lang AND y.phrase = c.rp),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM scored WHERE best = 1)
+SELECT r.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= {top}"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, chunk_bpe, decontam, html, jaccard, license, lm, merkle, oracles, packing, quality, suffix, warc
+from eventloom.llm import chat, chunk_bpe, decontam, html, jaccard, license, lm, merkle, oracles, packing, phrases, quality, suffix, warc
 from eventloom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,11 @@ def op13_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_bpe.encode(table(spark, sf_dir, "documents"), path).mapInArrow(
         chunk_bpe.digest_batches(path), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
+
+
+@register
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_collocations"] = oracles.collocations()

@@ -88,12 +88,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     return mix(out)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word (bytes other than ASCII white space) and each text's first word."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, solid_bytes: np.ndarray = _SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word (bytes other than ASCII white space, if not told otherwise) and each text's first word."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = _SOLID[data]
+    solid = solid_bytes[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     first, last = solid.copy(), solid.copy()
