@@ -3,9 +3,9 @@
 Words are taken per language. A phrase can be frequent only if all its parts are (Apriori). So, level by level:
 
 1. Words are counted exactly. Frequent ones go into a bitmap of fixed size.
-2. For lengths 2, 3 and 4: every task counts the phrases whose parts passed, by hash, in counters that stop at the
-   threshold; the tasks' counters are summed. A phrase whose sum stays below the threshold is not frequent; all
-   others pass (a hash shared with other phrases can only let too many pass). The sums leave as a bitmap.
+2. For lengths 2, 3 and 4: every task counts the phrases whose parts passed, by two hashes, in counters that stop at
+   the threshold; the tasks' counters are summed. A phrase with a sum below the threshold is not frequent; all
+   others pass (counters shared with other phrases can only let too many pass). The sums leave as a bitmap.
 3. The phrases that passed are gathered once each: the candidates, a superset of the frequent phrases.
 4. They are built into double-array tries of bounded size, broadcast one after the other. A task advances the
    states of all its text positions at once, word by word, and counts the accepting states in one array; the
@@ -40,8 +40,9 @@ SCALE = 2_000_000
 WORD_BITS = 24
 SKETCH_BITS = (16, 24)  # counters of a sketch: about one a word of the corpus, within these bounds
 BLOCK = 1 << 14
-TRIE = 1_000_000
+TRIE = 500_000
 ROOMY = 6  # slots of a trie per node
+BUCKET_WORDS = 1_000_000  # words of the corpus for each bucket of candidates
 SLICE = 2 << 20
 _SOLID = np.ones(256, bool)
 _SOLID[list(b" \t.,;:!?\n\x0b\x0c\r")] = False
@@ -101,7 +102,8 @@ def passing(words: Words, known: np.ndarray, sketches: list[np.ndarray]) -> list
         at = at[here[at + 1]]  # the phrase one word on passes as well
         at = at[words.joined[at + 1]]
         if length - 2 < len(sketches):
-            at = at[is_set(sketches[length - 2], _keys_at(words, at, length))]
+            keys = _keys_at(words, at, length)
+            at = at[is_set(sketches[length - 2], keys) & is_set(sketches[length - 2], mix(keys))]
         levels.append(at)
     return levels
 
@@ -173,7 +175,7 @@ def _sketch(least: int, bits: int, known: np.ndarray, sketches: list[np.ndarray]
         counters = np.zeros(1 << bits, kind)
         for _, words in _pieces(batches):
             keys = _keys_at(words, passing(words, known, sketches)[-1], length)
-            at, times = np.unique((keys >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+            at, times = np.unique((np.r_[keys, mix(keys)] >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
             counters[at] = np.minimum(counters[at].astype(np.int64) + times, least)
         yield from _blocks(counters)
 
@@ -205,13 +207,15 @@ def _sketched(docs: DataFrame, least: int, bits: int, known: np.ndarray, sketche
 # Candidates
 
 
-def _gather(known: np.ndarray, sketches: list[np.ndarray]):
+def _gather(known: np.ndarray, sketches: list[np.ndarray], buckets: int):
+    """Every candidate once a task, packed in lists by the bucket of its key."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.zeros(0, np.uint64)
         for batch, words in _pieces(batches):
             levels = passing(words, known, sketches)
             singles = np.union1d(levels[1], levels[1] + 1)
-            at = np.concatenate([singles, *levels[1 : LONGEST]])
+            at = np.concatenate([singles, *levels[1:LONGEST]])
             length = np.repeat(np.arange(1, LONGEST + 1), [len(singles), *map(len, levels[1:LONGEST])])
             keys = np.concatenate([words.keys[singles], *(_keys_at(words, levels[k - 1], k) for k in range(2, LONGEST + 1))])
             keys, where = np.unique(keys, return_index=True)
@@ -219,16 +223,35 @@ def _gather(known: np.ndarray, sketches: list[np.ndarray]):
                 new = sent[np.minimum(np.searchsorted(sent, keys), len(sent) - 1)] != keys
                 keys, where = keys[new], where[new]
             sent = np.union1d(sent, keys) if len(sent) < 4_000_000 else keys
-            at, length = at[where], length[where]
-            spans = list(zip(words.starts.tolist(), words.ends.tolist())) if len(at) else []
-            phrases = [b" ".join([words.raw[a:z] for a, z in spans[i : i + k]]).decode() for i, k in zip(at.tolist(), length.tolist())]
+            bucket = (keys % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            keys, bucket, at, length = keys[order], bucket[order], at[where[order]], length[where[order]]
+            phrases = [b" ".join([words.raw[a:z] for a, z in zip(*span)]).decode() for span in _spans(words, at, length)]
             doc = np.searchsorted(words.firsts, at, "right") - 1
-            columns = [pa.array(keys.view(np.int64)), pa.array(length.astype(np.int32)), batch.column("lang").cast(pa.string()).take(pa.array(doc)), pa.array(phrases, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "k", "lang", "phrase"])
+            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(at) else np.zeros(1, np.int64)
+            lists = (
+                pa.array(keys.view(np.int64)), pa.array(length.astype(np.int32)),
+                batch.column("lang").cast(pa.string()).take(pa.array(doc)), pa.array(phrases, pa.string()),
+            )
+            packed = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), values) for values in lists]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]]), *packed], ["bucket", "key", "k", "lang", "phrase"])
 
     return run
 
 
+def _spans(words: Words, at: np.ndarray, length: np.ndarray) -> Iterator[tuple[list[int], list[int]]]:
+    """Starts and ends of the words of each phrase."""
+    starts, ends = words.starts.tolist(), words.ends.tolist()
+    return ((starts[i : i + k], ends[i : i + k]) for i, k in zip(at.tolist(), length.tolist()))
+
+
+def _once(table: pa.Table) -> pa.Table:
+    """The different candidates of a bucket."""
+    flat = pa.table({c: pa.chunked_array([x.flatten() for x in table.column(c).chunks]) for c in ("key", "k", "lang", "phrase")})
+    _, where = np.unique(flat.column("key").to_numpy(), return_index=True)
+    return flat.take(pa.array(where))
+
+
 # Tries
 
 
@@ -385,10 +408,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     sketches: list[np.ndarray] = []
     for _ in range(2, LONGEST + 1):
         sketches.append(_sketched(docs, least, bits, known, sketches))
-    gathered = docs.mapInArrow(_gather(known, sketches), "key bigint, k int, lang string, phrase string")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_WORDS)
+    gathered = docs.mapInArrow(_gather(known, sketches, buckets), "bucket bigint, key array<bigint>, k array<int>, lang array<string>, phrase array<string>")
     candidates = settle(
-        gathered.groupBy("key").agg(F.any_value("k").alias("k"), F.any_value("lang").alias("lang"), F.any_value("phrase").alias("phrase")),
-        "phrase-candidates",
+        gathered.groupBy("bucket").applyInArrow(_once, "key bigint, k int, lang string, phrase string"), "phrase-candidates"
     )
     longer = candidates.where("k > 1")
     tries = max(1, -(-longer.count() // TRIE))
