@@ -277,7 +277,7 @@ def test_pipeline_against_a_plain_version(spark):
     rows = [(i, t) for i, t in rows_of(documents) if verdict[i]]
     firsts = {i for i, _, c in plain_join(rows, 5, 80) if i == c}
     rows = [(i, t) for i, t in rows if i in firsts]
-    rows = [(r[0], r[4].decode("utf-8", "ignore")) for r in plain_cut(rows, 400)]
+    rows = [(r[0], r[4].decode("utf-8", "ignore")) for r in plain_cut(rows, corpus_pipeline.PASSAGE_BYTES)]
     items = [shingles(r["text"], 5, False) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
     rows = [(i, t) for i, t in rows if not any(q and 100 * len(q & shingles(t, 5)) >= 80 * len(q) for q in items)]
     from tokenizers import Tokenizer
@@ -325,6 +325,20 @@ def test_rows_without_an_own_id_have_their_own_verdict(spark, tmp_path):
     assert seen[3] == [r for r in seen[2] if r[1] != "leak0"]
 
 
+def test_passages_of_51_words_are_cut(spark):
+    random = np.random.default_rng(8)
+    word = lambda: "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), int(random.choice([2, 3, 4, 5, 6, 7]))))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(51) for _ in range(30)]
+    docs = [(2 * i + k, f"{text(120)} {passages[i]} {text(90)}") for i in range(30) for k in (0, 1)] + [(100 + i, text(200)) for i in range(20)]
+    cut = dict(rows_of(corpus_pipeline.repeated_passages(spark, spark.createDataFrame(docs, "doc_id bigint, text string").repartition(16), "")))
+    for i, t in docs:
+        if i < 60:
+            assert passages[i // 2] not in cut[i] and len(t) - len(cut[i]) <= len(passages[i // 2]) + 6
+        else:
+            assert cut[i] == t
+
+
 def test_digest_columns(spark):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op7_suffix_dedup"](spark, SF_SMALL).collect()}
     for doc, size, removed, spans, kept in plain_cut(rows_of(real(spark)), 400):
