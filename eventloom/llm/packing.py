@@ -13,7 +13,7 @@ import os
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count as count_up
 
 import numpy as np
@@ -28,7 +28,9 @@ from eventloom.llm.words import buffer_of, lower_ascii, slices, span_hashes, wor
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 200_000
+SLICE = 512 << 10  # bytes of text encoded at once
+ROWS = 256  # pieces handled at once when they are placed: at most 2 MB of ids
 PIECE = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, part bigint, nth bigint, ids array<int>"
 
 
@@ -125,7 +127,7 @@ def _cut(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
-        for batch in (piece for batch in batches for piece in slices(batch, "text")):
+        for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE)):
             ids, bounds = tokenizer.encode(batch.column("text"))
             totals = np.diff(bounds)
             pieces = -(-totals // length)
@@ -191,9 +193,9 @@ def _places(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.n
     return {size: tuple(np.array(c, np.int64) for c in zip(*rows)) for size, rows in runs.items()}
 
 
-def _assign(places: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
+def _assign(places: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], then: Callable | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
             sizes, ranks = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             sequence, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
             for size in np.unique(sizes).tolist():
@@ -206,15 +208,19 @@ def _assign(places: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
                 [*(batch.column(c) for c in keep), pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"]
             )
 
-    return run
+    return run if then is None else lambda batches: then(run(batches))
+
 
+PLACED = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids array<int>, sequence_id bigint, offset bigint"
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
+
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, then: Callable | None = None, schema: str = PLACED) -> DataFrame:
     """Pieces of documents with their place: doc_id, start, length, doc_tokens, ids, sequence_id, offset.
 
     A null or empty text is one piece holding the end id; repeated rows are packed each on their own;
     an empty table gives no rows. Ids are stored once in the shared folder, then only joined with the
-    per-task offsets, which are broadcast if few.
+    per-task offsets, which are broadcast if few. `then` may turn the batches of the result into others, of `schema`,
+    in the same task.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = settle(docs.mapInArrow(_cut(tokenizer, length), PIECE), "pieces")
@@ -226,16 +232,14 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     )
     ranked = join_small(pieces, offsets, ["part", "length"], "inner").withColumn("rank", F.col("base") + F.col("nth"))
     places = _places(pack_histogram(histogram, length))
-    return ranked.drop("part", "base", "nth").mapInArrow(
-        _assign(places), "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids array<int>, sequence_id bigint, offset bigint"
-    )
+    return ranked.drop("part", "base", "nth").mapInArrow(_assign(places, then), schema)
 
 
 def crc_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces `ids` by ids_crc32, the CRC-32 of the ids as little-endian unsigned 32-bit numbers."""
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, len(b), ROWS)):
         lists = batch.column("ids")
-        bounds, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
+        bounds, flat = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy().astype("<u4")
         sums = [zlib.crc32(flat[a:z].tobytes()) for a, z in zip(bounds[:-1], bounds[1:])]
         keep = [c for c in batch.schema.names if c != "ids"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sums, pa.int64())], [*keep, "ids_crc32"])

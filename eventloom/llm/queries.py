@@ -96,10 +96,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
-    return packed.mapInArrow(
-        packing.crc_batches,
-        "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids_crc32 bigint",
+    return packing.pack(
+        table(spark, sf_dir, "documents"),
+        tokenizer_path(),
+        then=packing.crc_batches,
+        schema="doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids_crc32 bigint",
     )
 
 
