@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.keypaths import string_at, type_at
 from eventloom.functions.levels import level_from_name
-from eventloom.operators.chunks import CHUNK_BITS, broadcast_if_small, carry_before, chunk_of
+from eventloom.operators.chunks import CHUNK_BITS, carry_before, chunk_of
 from eventloom.schema import AUTO, IDX, OFFSET, STREAM, TS, USER, ReaderOptions
 from eventloom.session import settle
 
@@ -148,68 +148,46 @@ def _kind(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), r"\A[A-Z]+", 0)
 
 
-def _nesting(shape: Column) -> Column:
-    """An upper bound for how deep objects nest in a shape: its deepest open bracket."""
-    unquoted = F.regexp_replace(shape, "`(``|[^`])*+`", "")
-    brackets = F.regexp_extract_all(unquoted, F.lit("[<>]"), F.lit(0))
-    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+LEVELS = 4
 
-    def step(acc: Column, bracket: Column) -> Column:
-        now = acc["open"] + F.when(bracket == "<", 1).otherwise(-1)
-        return F.struct(now.alias("open"), F.greatest(acc["most"], now).alias("most"))
 
-    return F.aggregate(brackets, start, step, lambda acc: acc["most"])
+def _open_levels(events: DataFrame, levels: int) -> DataFrame:
+    """(namespace, path, type, more, n_events): leaves found by opening objects `levels` deep, in one scan of the events.
 
-
-def schema_census(events: DataFrame) -> DataFrame:
-    """(namespace, path, type, n_events): every leaf key of the events and how often it occurs.
-
-    A path seen with two types is two leaves. Events of the same shape have the same leaves, so events
-    are counted per shape first, one example of each shape is fetched by a hash of its identity, and
-    only the examples are opened, level by level, with their shape's count as weight. Two events that
-    share both shape and hash are equally good examples.
+    `more` marks objects at the last level that are not empty, and so no leaves yet.
     """
-    shape = {
-        "_auto": F.coalesce(F.schema_of_variant(AUTO), F.lit("")),
-        "_user": F.coalesce(F.schema_of_variant(USER), F.lit("")),
-    }
-    row = F.xxhash64(STREAM, IDX)
-    shapes = settle(
-        events.select(row.alias("_row"), *[c.alias(n) for n, c in shape.items()])
-        .groupBy("_auto", "_user")
-        .agg(F.count("*").alias("n_events"), F.min("_row").alias("_row")),
-        "event-shapes",
-    )
-    depth = shapes.agg(F.max(F.greatest(_nesting(F.col("_auto")), _nesting(F.col("_user"))))).first()[0]
-    picks = broadcast_if_small(shapes.select("_row").distinct())
-    examples = (
-        events.select(row.alias("_row"), AUTO, USER)
-        .join(picks, "_row", "left_semi")
-        .withColumns(shape)
-        .join(shapes, ["_auto", "_user", "_row"])
-        .dropDuplicates(["_auto", "_user"])
-    )
     spaces = F.array(
         *[F.struct(F.lit(ns).alias("namespace"), F.col(c).alias("v")) for ns, c in (("auto", AUTO), ("user", USER))]
     )
     nodes = (
-        examples.select("n_events", F.inline(spaces))
-        .where("v is not null")
-        .withColumn("path", F.array().cast("array<string>"))
+        events.select(F.inline(spaces)).where("v is not null").withColumn("path", F.array().cast("array<string>"))
     )
-    for _ in range(depth or 0):
+    as_map = lambda: F.col("v").try_cast("map<string,variant>")
+    for _ in range(levels):
         # Leaves pass through: only objects open, and an empty object has nothing to open.
-        children = F.col("v").try_cast("map<string,variant>")
-        opened = nodes.select("namespace", "n_events", "path", "v", F.explode_outer(children).alias("_key", "_child"))
+        opened = nodes.select("namespace", "path", "v", F.explode_outer(as_map()).alias("_key", "_child"))
         is_leaf = F.col("_key").isNull()
         nodes = opened.select(
             "namespace",
-            "n_events",
             F.when(is_leaf, F.col("path")).otherwise(F.concat("path", F.array("_key"))).alias("path"),
             F.when(is_leaf, F.col("v")).otherwise(F.col("_child")).alias("v"),
         )
     return (
         nodes.where(F.size("path") > 0)
-        .groupBy("namespace", "path", _kind(F.col("v")).alias("type"))
-        .agg(F.sum("n_events").alias("n_events"))
+        .groupBy("namespace", "path", _kind(F.col("v")).alias("type"), F.coalesce(F.size(as_map()) > 0, F.lit(False)).alias("more"))
+        .agg(F.count("*").alias("n_events"))
     )
+
+
+def schema_census(events: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """(namespace, path, type, n_events): every leaf key of the events and how often it occurs.
+
+    A path seen with two types is two leaves. Leaves are counted where they are read: what is shuffled is one row
+    per leaf and task. Objects are opened `levels` deep in one scan; only where deeper ones are found, the census is
+    taken again with twice as many.
+    """
+    while True:
+        census = settle(_open_levels(events, levels), "leaf-counts")
+        if not census.where("more").limit(1).count():
+            return census.drop("more")
+        levels *= 2

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,26 +46,77 @@ def file_names(events: DataFrame) -> DataFrame:
     return file_infos(events).select(STREAM, "file_name", "log_event_idx_start")
 
 
+PIECE = "_from bigint, _to bigint, _start bigint, _end bigint, file_name string"
+SPAN_BITS = 18
+
+
+def sweep(table: pa.Table, *keys: str) -> pa.Table:
+    """Disjoint pieces (_from, _to) of the ranges (_low, _high) of one group, each with its owner's _start, _end, file_name.
+
+    One ordered pass over the end points. The open ranges wait in a heap by the owner's rule; one that has
+    ended is dropped when it comes to the top. So n ranges cost n log n and give at most 2 n - 1 pieces.
+    """
+    low, high, start, end, name = (table.column(c).to_pylist() for c in ("_low", "_high", "_start", "_end", "file_name"))
+    order = sorted(range(len(low)), key=low.__getitem__)
+    waiting: list[tuple] = []
+    pieces: list[tuple] = []
+    next_open = 0
+    for at, after in itertools.pairwise(sorted({*low, *high})):
+        while next_open < len(order) and low[order[next_open]] <= at:
+            i = order[next_open]
+            heapq.heappush(waiting, (-start[i], end[i], name[i] is None, name[i] or "", high[i], i))
+            next_open += 1
+        while waiting and waiting[0][4] <= at:
+            heapq.heappop(waiting)
+        if waiting:
+            owner = waiting[0][5]
+            if pieces and pieces[-1][1] == at and pieces[-1][2] == owner:
+                pieces[-1] = (pieces[-1][0], after, owner)
+            else:
+                pieces.append((at, after, owner))
+    owners = [p[2] for p in pieces]
+    columns = [pa.array([p[k] for p in pieces], pa.int64()) for k in (0, 1)]
+    columns += [pa.array([c[i] for i in owners], pa.int64()) for c in (start, end)]
+    columns.append(pa.array([name[i] for i in owners], pa.string()))
+    group = [pa.array([table.column(k)[0].as_py()] * len(pieces), table.schema.field(k).type) for k in keys]
+    return pa.table([*group, *columns], names=[*keys, "_from", "_to", "_start", "_end", "file_name"])
+
+
+def _swept(ranges: DataFrame, key: str) -> DataFrame:
+    return ranges.groupBy(STREAM, key).applyInArrow(lambda table: sweep(table, STREAM, key), f"{STREAM} string, {key} bigint, {PIECE}")
+
+
+def _cut(ranges: DataFrame, key: str, bits: int, only_ends: bool) -> DataFrame:
+    """The parts of ranges (_low, _high) in groups of 2**bits; with only_ends, in the first and last group of each alone."""
+    first, last = chunk_of(F.col("_low"), bits), chunk_of(F.col("_high") - 1, bits)
+    groups = F.array_distinct(F.array(first, last)) if only_ends else F.sequence(first, last)
+    cut = ranges.withColumn(key, F.explode(groups))
+    low = F.greatest("_low", F.shiftleft(F.col(key), bits))
+    return cut.withColumns({"_low": low, "_high": F.least("_high", F.shiftleft(F.col(key) + 1, bits))})
+
+
 def _pieces(ranges: DataFrame, bits: int) -> DataFrame:
-    """Disjoint (stream, chunk, start, end, file_name) pieces of possibly overlapping ranges."""
-    cut = ranges.withColumn(
-        "_chunk",
-        F.explode(F.sequence(chunk_of(F.col("_start"), bits), chunk_of(F.col("_end") - 1, bits))),
+    """Disjoint (stream, chunk, start, end, file_name) pieces of possibly overlapping ranges.
+
+    A range enters the sweeps of its first and its last chunk. The chunks between, which it covers whole, stay one
+    range over chunk numbers; those ranges are swept by themselves, and give each chunk the one owner that covers it.
+    So the rows are two for each range and one for each chunk, however many files span a stream.
+    """
+    ranges = ranges.withColumns({"_low": F.col("_start"), "_high": F.col("_end")})
+    ends = _cut(ranges, "_chunk", bits, only_ends=True)
+    whole = ranges.withColumns({"_low": chunk_of(F.col("_start"), bits) + 1, "_high": chunk_of(F.col("_end") - 1, bits)})
+    covers = _swept(_cut(whole.where(F.col("_low") < F.col("_high")), "_span", SPAN_BITS, only_ends=False), "_span")
+    covers = covers.withColumn("_chunk", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1))).select(
+        STREAM, "_chunk", "_start", "_end", "file_name",
+        F.shiftleft("_chunk", bits).alias("_low"), F.shiftleft(F.col("_chunk") + 1, bits).alias("_high"),
     )
-    low = F.greatest(F.col("_start"), F.shiftleft(F.col("_chunk"), bits))
-    high = F.least(F.col("_end"), F.shiftleft(F.col("_chunk") + 1, bits))
-    cut = cut.withColumns({"_low": low, "_high": high})
-    edges = cut.select(STREAM, "_chunk", F.explode(F.array("_low", "_high")).alias("_from")).distinct()
-    following = Window.partitionBy(STREAM, "_chunk").orderBy("_from")
-    gaps = edges.withColumn("_to", F.lead("_from").over(following)).where("_to is not null")
-    inside = (F.col("_low") <= F.col("_from")) & (F.col("_high") >= F.col("_to"))
-    owner = F.min_by("file_name", F.struct(-F.col("_start"), "_end", "file_name"))
+    touched = ends.select(STREAM, "_chunk").distinct()
+    swept = ends.unionByName(covers.join(touched, [STREAM, "_chunk"], "left_semi"))
+    alone = covers.join(touched, [STREAM, "_chunk"], "left_anti")
     return (
-        gaps.join(cut, [STREAM, "_chunk"])
-        .where(inside)
-        .groupBy(STREAM, "_chunk", "_from", "_to")
-        .agg(owner.alias("file_name"))
-        .withColumnsRenamed({"_from": "_start", "_to": "_end"})
+        _swept(swept, "_chunk")
+        .select(STREAM, "_chunk", F.col("_from").alias("_start"), F.col("_to").alias("_end"), "file_name")
+        .unionByName(alone.select(STREAM, "_chunk", F.col("_low").alias("_start"), F.col("_high").alias("_end"), "file_name"))
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,35 @@ def index_by_order(
     )
 
 
+def index_by_rank(
+    rows: DataFrame, order: Sequence[str], stream: str = STREAM, name: str = IDX, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Dense positions per stream in the order of any columns that are unique together within a stream.
+
+    For orders with gaps of any size, or of any type: nanoseconds, texts, several columns. The rows are range
+    partitioned by (stream, order), with splitters that Spark samples, sorted, and written once to the shared folder;
+    a row's position is its place in its range plus the rows of its stream in earlier ranges. The summary has one
+    row per range and stream in it, and is carried in two levels where it is long. A repeated order, or a null in
+    it, raises. Order columns are compared as Spark sorts them, texts bytewise.
+    """
+    keys = [stream, *order]
+    checked = rows.withColumns({key: required(F.col(key), key) for key in keys})
+    again = checked.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if again:
+        raise ValueError(f"order is not unique: {again[0].asDict()}")
+    ranged = checked.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    ranged = settle(ranged, "ranked-rows").withColumns(
+        {"_range": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)}
+    )
+    counts = ranged.groupBy(stream, "_range").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = carry_before(settle(counts, "range-counts"), [stream], "_range", "_n", "sum", "_before", flat_rows=broadcast_rows)
+    return (
+        ranged.join(broadcast_if_small(before.drop("_n"), broadcast_rows), [stream, "_range"])
+        .withColumn(name, F.col("_before") + F.col("_row") - F.col("_first"))
+        .drop("_at", "_range", "_row", "_first", "_before")
+    )
+
+
 def index_by_ordinal_files(
     rows: DataFrame,
     file_ordinal: str,

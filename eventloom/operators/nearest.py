@@ -7,13 +7,17 @@ position in the whole stream, never in a filtered list.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from eventloom.operators.chunks import BROADCAST_ROWS, carry_before, chunk_of, small_enough
+from eventloom.operators.chunks import BROADCAST_ROWS, broadcast_if_small, carry_before, chunk_of, small_enough
+from eventloom.operators.paging import PAGE_RANGES, within
 from eventloom.schema import IDX, STREAM, TS
 from eventloom.session import settle
+from eventloom.sources.store import BUCKET
 
 # Time is cut into buckets of 2**20 ms (17.5 minutes). Within a bucket, time (20 bits) and index (43
 # bits, 8.8e12 events per stream) fit one BIGINT that sorts like the pair, so "last event" is a plain
@@ -46,6 +50,50 @@ def nearest_event(events: DataFrame, target_ts: int) -> DataFrame:
     )
 
 
+def _zones_to_read(zones: DataFrame, target_ts: int) -> DataFrame:
+    """(stream, min_idx, max_idx) of the chunks that can hold the answer.
+
+    A chunk wholly at or before the target has its max_ts as its best time, one across it has at least min_ts. Chunks
+    that can't reach the best of these bounds are out. Of whole chunks with equal best times the last one has the
+    greatest index. In a stream in time order one or two chunks are left, however out of order it is, never too few.
+    """
+    before, across = F.col("max_ts") <= target_ts, (F.col("min_ts") <= target_ts) & (F.col("max_ts") > target_ts)
+    found = zones.where(F.col("min_ts") <= target_ts)
+    bounds = found.groupBy(STREAM).agg(
+        F.max(F.when(before, F.col("max_ts")).otherwise(F.col("min_ts"))).alias("_bound"),
+        F.max(F.when(before, F.struct("max_ts", "max_idx"))).alias("_last"),
+    )
+    last = before & (F.col("max_ts") >= F.col("_bound")) & F.col("_last").eqNullSafe(F.struct("max_ts", "max_idx"))
+    return found.join(bounds, STREAM).where(across | last).select(STREAM, "min_idx", "max_idx")
+
+
+def nearest_stored(events: DataFrame, zones: DataFrame, target_ts: int) -> DataFrame:
+    """nearest_event from a stored table and its zone map: only chunks that can hold the answer are read.
+
+    Up to 64 chunks are named one by one in the scan's condition, more are joined. Streams whose first event comes
+    after the target are answered from the map alone.
+    """
+    wanted = settle(_zones_to_read(zones, target_ts), "nearest-chunks")
+    named = wanted.limit(PAGE_RANGES + 1).collect()
+    firsts = zones.groupBy(STREAM).agg(F.min("min_idx").alias("_first"))
+    if not named:
+        return firsts.select(STREAM, F.col("_first").alias(IDX))
+    if len(named) <= PAGE_RANGES:
+        rows = events.where(within([tuple(r) for r in named]))
+        if BUCKET in events.columns:
+            rows = rows.where(F.col(BUCKET).isin(sorted({_bucket(r[0]) for r in named})))
+    else:
+        ranges = wanted.withColumnsRenamed({"min_idx": "_low", "max_idx": "_high"})
+        inside = [events[STREAM] == ranges[STREAM], F.col(IDX) >= F.col("_low"), F.col(IDX) <= F.col("_high")]
+        rows = events.join(broadcast_if_small(ranges), inside, "left_semi")
+    best = rows.where(F.col(TS) <= target_ts).groupBy(STREAM).agg(F.max(F.struct(TS, IDX))[IDX].alias("_best"))
+    return firsts.join(best, STREAM, "left").select(STREAM, F.coalesce("_best", "_first").alias(IDX))
+
+
+def _bucket(stream: str) -> str:
+    return "b" + hashlib.md5(stream.encode()).hexdigest()[:2]
+
+
 def nearest_events(
     events: DataFrame,
     probes: DataFrame,

@@ -19,7 +19,7 @@ PAGE_CHUNKS = 10_000
 PAGE_RANGES = 64  # index ranges that a scan condition names one by one
 
 
-def _within(ranges: list[tuple[str, int, int]]) -> Column:
+def within(ranges: list[tuple[str, int, int]]) -> Column:
     """A scan condition for (stream, low, high), ends included; too many are taken as one range."""
     if len(ranges) > PAGE_RANGES:
         return F.col(IDX).between(min(low for _, low, _ in ranges), max(high for _, _, high in ranges))
@@ -114,7 +114,7 @@ def page_filtered(
     if len(found) <= PAGE_CHUNKS:
         wanted = F.broadcast(events.sparkSession.createDataFrame(found, wanted.schema))
         hits = hits.where(
-            _within([(r[STREAM], r["_chunk"] << bits, ((r["_chunk"] + 1) << bits) - 1) for r in found])
+            within([(r[STREAM], r["_chunk"] << bits, ((r["_chunk"] + 1) << bits) - 1) for r in found])
         )
     hits = hits.withColumn("_chunk", chunk_of(F.col(IDX), bits)).join(
         wanted.select(STREAM, "_chunk"), [STREAM, "_chunk"], "left_semi"
@@ -129,7 +129,7 @@ def page_filtered(
         whole = keys.agg(*ends).first()
         rows = events.where(F.col(IDX).between(whole["low"], whole["high"]))
     else:
-        rows = events.where(_within([(r[STREAM], r["low"], r["high"]) for r in spans]))
+        rows = events.where(within([(r[STREAM], r["low"], r["high"]) for r in spans]))
     # The keys' size is known from their files, so Spark itself decides whether to broadcast them.
     rows = rows.join(keys, [STREAM, IDX], "left_semi")
     return decode(rows, stream_type).orderBy(STREAM, "log_event_num")

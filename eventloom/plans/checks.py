@@ -13,6 +13,7 @@ from eventloom.functions.predicates import kv
 from eventloom.functions.text import repair_utf8
 from eventloom.operators import diagnostics, files, filters, indexing, nearest, paging, templates
 from eventloom.plans import driver_tables as dt
+from eventloom.plans.log_table import LogTable
 from eventloom.schema import (
     ARCHIVE_MAGIC,
     FILE,
@@ -31,6 +32,7 @@ from eventloom.schema import (
 from eventloom.session import fresh_dir
 from eventloom.sources import admission, blobs, tolerant
 from eventloom.sources.events import read_structured_lines, structured_events
+from eventloom.sources.store import store_events
 from eventloom.streaming.normalise import append_to, normalise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +110,20 @@ def event_index_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(dt.four_streams(spark, sf_dir))
 
 
+@check(
+    """SELECT 's' || CAST(user_id % 4 AS VARCHAR) AS stream_id, event_id,
+    row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1 AS log_event_idx FROM events"""
+)
+def event_index_sparse_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order by epoch nanoseconds: values far apart, with event_id where two events share one."""
+    rows = dt.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("s"), F.col("user_id") % 4).alias(STREAM),
+        "event_id",
+        (ntz_to_millis(F.col("ts")) * 1_000_000 + F.date_format("ts", "SSSSSS").cast("bigint") % 1000 * 1000).alias("nanos"),
+    )
+    return indexing.index_by_rank(rows, ["nanos", "event_id"]).drop("nanos")
+
+
 @check("SELECT event_id, event_id AS log_event_idx FROM events")
 def event_index_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexing.index_by_parquet_position(dt.table(spark, sf_dir, "events")).select("event_id", IDX)
@@ -564,6 +580,28 @@ def nearest_point_before_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest_event(dt.four_streams(spark, sf_dir, dt.coarse_millis()), 0)
 
 
+def _stored(spark: SparkSession, sf_dir: str, bits: int = 8) -> LogTable:
+    """The four streams as a stored table, in small chunks, so that most chunks can't hold an answer."""
+    path = fresh_dir(spark, "stored-events")
+    store_events(dt.four_streams(spark, sf_dir, dt.coarse_millis()), path, bits=bits)
+    return LogTable.stored(spark, path)
+
+
+@check(_point_sql(_MID_JANUARY))
+def nearest_point_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).nearest(_MID_JANUARY)
+
+
+@check(_point_sql(0))
+def nearest_point_stored_before_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).nearest(0)
+
+
+@check(f"WITH {_FOUR} SELECT stream_id, count(*) AS n_events FROM four GROUP BY stream_id")
+def event_counts_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).event_counts()
+
+
 _PROBE_SQL = """probes AS (SELECT o_orderkey, 's' || CAST(o_custkey % 5 AS VARCHAR) AS stream_id,
     1704060000000 + (o_orderkey * 173000) % 2700000000 AS target_ts FROM orders)"""
 

@@ -4,25 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventloom.operators import files, filters, nearest, paging
-from eventloom.schema import STRUCTURED
+from eventloom.schema import STREAM, STRUCTURED
 from eventloom.session import settle
-from eventloom.sources.store import of_stream
+from eventloom.sources.store import of_stream, open_events
+from eventloom.sources.zones import open_zones
 
 
 class LogTable:
     """An event table of one or many streams. Immutable: filter() returns a new one."""
 
     def __init__(
-        self, events: DataFrame, stream_type: str = STRUCTURED, condition: Column | None = None
+        self, events: DataFrame, stream_type: str = STRUCTURED, condition: Column | None = None, zones: DataFrame | None = None
     ) -> None:
         self.events = events
+        self.zones = zones
         self.stream_type = stream_type
         self._condition = condition
         self._counted: tuple[DataFrame, DataFrame] | None = None
 
+    @classmethod
+    def stored(cls, spark: SparkSession, path: str, stream_type: str = STRUCTURED) -> LogTable:
+        """A table that store_events wrote, with its zone map: counts and lookups read the map first."""
+        return cls(open_events(spark, path), stream_type, zones=open_zones(spark, path))
+
     def _match_counts(self) -> tuple[DataFrame, DataFrame]:
         """Matches before each chunk, and per stream: counted at first use, then read from the shared folder."""
         if self._counted is None:
@@ -31,9 +39,12 @@ class LogTable:
         return self._counted
 
     def only(self, stream_id: str) -> LogTable:
-        return LogTable(of_stream(self.events, stream_id), self.stream_type, self._condition)
+        zones = None if self.zones is None else self.zones.where(F.col(STREAM) == stream_id)
+        return LogTable(of_stream(self.events, stream_id), self.stream_type, self._condition, zones)
 
     def event_counts(self) -> DataFrame:
+        if self.zones is not None:
+            return self.zones.groupBy(STREAM).agg(F.sum("n").alias("n_events"))
         return files.event_counts(self.events)
 
     def file_infos(self) -> DataFrame:
@@ -47,7 +58,7 @@ class LogTable:
     ) -> LogTable:
         """Replaces any earlier filter; filter() with nothing removes it."""
         condition = filters.filter_condition(levels, predicate, self.stream_type)
-        return LogTable(self.events, self.stream_type, condition)
+        return LogTable(self.events, self.stream_type, condition, self.zones)
 
     def filtered_events(self) -> DataFrame:
         return self.events if self._condition is None else self.events.where(self._condition)
@@ -74,6 +85,8 @@ class LogTable:
 
     def nearest(self, target_ts: int) -> DataFrame:
         """Looks at all events, filtered or not."""
+        if self.zones is not None:
+            return nearest.nearest_stored(self.events, self.zones, target_ts)
         return nearest.nearest_event(self.events, target_ts)
 
     def nearest_many(self, probes: DataFrame, target: str = "target_ts") -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.operators.chunks import CHUNK_BITS
 from eventloom.schema import IDX, STREAM
+from eventloom.sources.zones import write_zones
 
 # One of 256 folders per stream; the letter keeps Spark from reading some folder names as numbers.
 BUCKET = "stream_bucket"
@@ -15,8 +17,8 @@ def bucket_of(stream: Column) -> Column:
     return F.concat(F.lit("b"), F.substring(F.md5(stream.cast("binary")), 1, 2))
 
 
-def store_events(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Write events by stream bucket, each file sorted by stream and position.
+def store_events(events: DataFrame, path: str, mode: str = "errorifexists", bits: int = CHUNK_BITS) -> None:
+    """Write events by stream bucket, each file sorted by stream and position, and a zone map of chunks of 2**bits positions.
 
     Events are gathered by bucket first, so the number of files follows the size of the table, not
     tasks times buckets. Adaptive execution cuts a bucket with a long stream into several tasks and
@@ -31,6 +33,7 @@ def store_events(events: DataFrame, path: str, mode: str = "errorifexists") -> N
         .partitionBy(BUCKET)
         .parquet(path)
     )
+    write_zones(events.sparkSession, path, bits, mode)
 
 
 def open_events(spark: SparkSession, path: str) -> DataFrame:
