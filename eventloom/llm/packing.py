@@ -28,8 +28,8 @@ from eventloom.llm.words import buffer_of, lower_ascii, slices, span_hashes, wor
 
 LENGTH = 2048
 END_ID = 1
-CACHED_WORDS = 200_000
-SLICE = 512 << 10  # bytes of text encoded at once
+CACHED_WORDS = 500_000
+SLICE = 1 << 20  # bytes of text encoded at once
 ROWS = 256  # pieces handled at once when they are placed: at most 2 MB of ids
 PIECE = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, part bigint, nth bigint, ids array<int>"
 
