@@ -31,7 +31,7 @@ from eventloom.schema import (
 )
 from eventloom.session import fresh_dir
 from eventloom.sources import admission, blobs, tolerant
-from eventloom.sources.events import read_structured_lines, structured_events
+from eventloom.sources.events import read_structured_lines, read_unstructured_lines, structured_events
 from eventloom.sources.store import store_events
 from eventloom.streaming.normalise import append_to, normalise
 
@@ -169,6 +169,41 @@ def structured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.decode(events).select(LEVEL, MESSAGE, TS, OFFSET)
 
 
+@check(
+    f"""SELECT 'f' || CAST(event_id // 1000 AS VARCHAR) AS stream_id, event_id % 1000 AS log_event_idx,
+    CAST(CASE event_type WHEN 'error' THEN 5 ELSE 0 END AS TINYINT) AS log_level,
+    ' ' || upper(event_type) || ' user=' || CAST(user_id AS VARCHAR) || ' props=' || props
+        || repeat(chr(10) || '  at frame ' || CAST(event_id AS VARCHAR), CAST(event_id % 4 AS INTEGER)) AS message,
+    {_MILLIS} AS timestamp, (user_id % 5 - 2) * 90 AS utc_offset FROM events"""
+)
+def unstructured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as text files, a file per 1000 of them, up to four lines each, read back over many blocks and chunks."""
+    folder, minutes = fresh_dir(spark, "text-logs"), (F.col("user_id") % 5 - 2) * 90
+    local = (F.col("ts") + F.make_dt_interval(mins=minutes)).cast("string")
+    shown = F.concat(F.substring(local, 1, 19), F.lit("."), F.rpad(F.substring(local, 21, 3), 3, "0"))
+    offset = F.format_string("%s%02d:%02d", F.when(minutes < 0, "-").otherwise("+"), F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60)
+    frames = F.repeat(F.concat(F.lit("\n  at frame "), F.col("event_id")), (F.col("event_id") % 4).cast("int"))
+    (
+        dt.table(spark, sf_dir, "events")
+        .select("event_id", dt.source_file().alias("part"), F.concat(shown, offset, dt.text_message(), frames).alias("value"))
+        .repartition("part")
+        .sortWithinPartitions("part", "event_id")
+        .select("part", "value")
+        .write.partitionBy("part")
+        .text(folder)
+    )
+    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        events = read_unstructured_lines(spark, folder, bits=8)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    stream = F.regexp_extract(STREAM, "part=([^/]+)", 1).alias(STREAM)
+    return paging.decode(events, UNSTRUCTURED).select(
+        stream, (F.col("log_event_num") - 1).alias(IDX), LEVEL, MESSAGE, TS, OFFSET
+    )
+
+
 def _cut_off_records(spark: SparkSession, sf_dir: str, in_the_middle: bool = True) -> DataFrame:
     """A stream per 1000 events; the last record of each cut off, some broken in the middle too."""
     e = F.col("event_id")
@@ -336,6 +371,37 @@ def admitted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened[0].unionByName(opened[1])
 
 
+@check(
+    f"""SELECT 'u' || CAST(user_id AS VARCHAR) AS stream_id,
+        row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS log_event_num,
+        CASE WHEN user_id % 8 = 0 THEN {_LEVEL_CODE} ELSE CAST(CASE event_type WHEN 'error' THEN 5 ELSE 0 END AS TINYINT) END
+            AS log_level,
+        CASE WHEN user_id % 8 = 0 THEN {_RENDERED}
+            ELSE ' ' || upper(event_type) || ' user=' || CAST(user_id AS VARCHAR) || ' props=' || props END AS message,
+        timestamp, {_SECONDS} // 60 AS utc_offset
+    FROM (SELECT *, {_LEVEL_TEXT} AS level_text, {_MILLIS} AS timestamp, {_SECONDS} AS offset_seconds,
+        CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE user_id % 8 < 2)"""
+)
+def opened_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stream of the catalog opened as the type it is admitted as, and all its events rendered."""
+    rows = dt.table(spark, sf_dir, "events").withColumn(STREAM, F.concat(F.lit("u"), F.col("user_id")))
+    opened = admission.open_streams(
+        indexing.index_by_order(rows, "event_id"),
+        _classified(spark, sf_dir),
+        dt.OPTIONS,
+        fresh_dir(spark, "opened"),
+        stream=F.col(STREAM),
+        idx=F.col(IDX),
+        auto=dt.auto_pairs(),
+        user=F.col("props"),
+        message=dt.text_message(),
+        timestamp=ntz_to_millis(F.col("ts")),
+        utc_offset_seconds=dt.offset_seconds(),
+        source_file=dt.source_file(),
+    )
+    return paging.decode(opened.structured).unionByName(paging.decode(opened.unstructured, UNSTRUCTURED))
+
+
 _MAGIC_CASE = "doc_id % 4"
 
 

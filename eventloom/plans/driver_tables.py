@@ -40,17 +40,20 @@ def source_file() -> Column:
     return F.concat(F.lit("f"), F.expr("event_id div 1000"))
 
 
-def build_structured(
-    rows: DataFrame, stream: Column, idx: Column, millis: Column | None = None
-) -> DataFrame:
+def auto_pairs(millis: Column | None = None) -> Column:
     millis = ntz_to_millis(F.col("ts")) if millis is None else millis
-    auto = F.struct(
+    return F.struct(
         level_text().alias("level"),
         millis.alias("timestamp"),
         offset_seconds().alias("utc_offset"),
     )
+
+
+def build_structured(
+    rows: DataFrame, stream: Column, idx: Column, millis: Column | None = None
+) -> DataFrame:
     return structured_events(
-        rows, OPTIONS, stream=stream, idx=idx, source_file=source_file(), auto=auto, user=F.col("props")
+        rows, OPTIONS, stream=stream, idx=idx, source_file=source_file(), auto=auto_pairs(millis), user=F.col("props")
     )
 
 
@@ -73,17 +76,20 @@ def coarse_millis() -> Column:
     return F.call_function("div", ntz_to_millis(F.col("ts")), ten_minutes) * ten_minutes
 
 
-def text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as one unstructured stream with messages like ' ERROR user=8 props={"k": 69}'."""
-    message = F.concat(
+def text_message() -> Column:
+    return F.concat(
         F.lit(" "), F.upper("event_type"), F.lit(" user="), F.col("user_id"), F.lit(" props="), F.col("props")
     )
+
+
+def text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as one unstructured stream with messages like ' ERROR user=8 props={"k": 69}'."""
     return unstructured_events(
         table(spark, sf_dir, "events"),
         stream=F.lit("all"),
         idx=F.col("event_id"),
         source_file=source_file(),
-        message=message,
+        message=text_message(),
         timestamp=ntz_to_millis(F.col("ts")),
         utc_offset_seconds=offset_seconds(),
     )

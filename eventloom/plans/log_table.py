@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.operators import files, filters, nearest, paging
-from eventloom.schema import STREAM, STRUCTURED
+from eventloom.schema import STREAM, STRUCTURED, UNSTRUCTURED
 from eventloom.session import settle
+from eventloom.sources.admission import Opened
 from eventloom.sources.store import of_stream, open_events
 from eventloom.sources.zones import open_zones
 
@@ -31,6 +32,14 @@ class LogTable:
         """A table that store_events wrote, with its zone map: counts and lookups read the map first."""
         return cls(open_events(spark, path), stream_type, zones=open_zones(spark, path))
 
+    @classmethod
+    def opened(cls, tables: Opened) -> tuple[LogTable, LogTable]:
+        """The structured and the unstructured table of a catalog that open_streams stored."""
+        return (
+            cls(tables.structured, STRUCTURED, zones=tables.structured_zones),
+            cls(tables.unstructured, UNSTRUCTURED, zones=tables.unstructured_zones),
+        )
+
     def _match_counts(self) -> tuple[DataFrame, DataFrame]:
         """Matches before each chunk, and per stream: counted at first use, then read from the shared folder."""
         if self._counted is None:

@@ -1,0 +1,91 @@
+"""Text logs whose events span lines, chunks and file blocks."""
+
+import random
+import re
+from datetime import UTC, datetime, timedelta
+
+import pytest
+
+from eventloom.operators.paging import decode
+from eventloom.schema import UNSTRUCTURED
+from eventloom.sources.events import TextHead, read_unstructured_lines
+
+HEAD = re.compile(r"(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3})(Z|[+-]\d\d:?\d\d)")
+
+
+def plain(name, text, head=HEAD):
+    """The events of one file, by a loop over its lines."""
+    events = []
+    for line in text.splitlines():
+        found = head.match(line)
+        if not found and events:
+            events[-1][1] += "\n" + line
+            continue
+        ts = minutes = 0
+        if found:
+            zone, line = found[2], line[found.end() :]
+            minutes = 0 if zone == "Z" else int(zone[1:3]) * 60 + int(zone[-2:])
+            minutes = -minutes if zone[0] == "-" else minutes
+            try:
+                local = datetime.fromisoformat(found[1]).replace(tzinfo=UTC)
+                ts = (local - datetime(1970, 1, 1, tzinfo=UTC) - timedelta(minutes=minutes)) // timedelta(milliseconds=1)
+            except ValueError:
+                pass
+        level = next((i for i, n in enumerate(("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL"), 1) if line[1:].startswith(n)), 0)
+        events.append([level, line, ts, minutes])
+    return [(name, i + 1, *e) for i, e in enumerate(events)]
+
+
+def read(spark, folder, **options):
+    rows = decode(read_unstructured_lines(spark, str(folder), **options), UNSTRUCTURED).collect()
+    return sorted(
+        (r["stream_id"].rsplit("/", 1)[1], r["log_event_num"], r["log_level"], r["message"], r["timestamp"], r["utc_offset"]) for r in rows
+    )
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_small_cases(spark, tmp_path, zone):
+    texts = {
+        "plain.log": "2024-03-10 02:30:00.123+05:30 INFO up\n2024-03-10 02:30:00.124-0130 ERROR no\n  at x\n\n  at y 7\n",
+        "headless.log": "left over\nmore\n1999-12-31 23:59:59.999Z WARN late\n",
+        "no_head.log": "one\n\ntwo",
+        "bad_time.log": "2024-13-45 99:00:00.000Z INFO odd\n",
+        "blank.log": "\n",
+        "tie.log": "2024-01-01 00:00:00.000Z INFO same\n" * 3,
+        "early.log": "1969-12-31 23:59:59.999Z DEBUG before\nsee 2024-01-01 00:00:00.000Z inside\n",
+        "empty.log": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for bits in (0, 1, 18):
+            assert read(spark, tmp_path, bits=bits) == sorted(row for name, text in texts.items() for row in plain(name, text))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_many_blocks_and_chunks(spark, tmp_path):
+    """One event of 700 lines runs over many chunks and blocks; texts are cut at any byte."""
+    draw, texts = random.Random(3), {}
+    for name in ("a.log", "b.log"):
+        parts = []
+        for i in range(400):
+            parts.append(f"2024-05-01 10:00:{i % 60:02d}.{i:03d}+01:00 {draw.choice(['INFO', 'WARN', 'é'])} step {i}")
+            parts += [f"  Ünder {i} {'x' * draw.randrange(60)}" for _ in range(700 if i == 200 else draw.randrange(4))]
+        texts[name] = "\n".join(parts) + "\n"
+        (tmp_path / name).write_text(texts[name])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert read(spark, tmp_path, bits=5) == sorted(row for name, text in texts.items() for row in plain(name, text))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_other_heads(spark, tmp_path):
+    (tmp_path / "x.log").write_text("[01/Feb/2024 03:04:05] ERROR a\n b\n[01/Feb/2024 03:04:06] c\n")
+    head = TextHead(r"\[(\d\d/\w{3}/\d{4} \d\d:\d\d:\d\d)\]", "dd/MMM/yyyy HH:mm:ss", has_offset=False, default_offset_seconds=3600)
+    at = int(datetime(2024, 2, 1, 2, 4, 5, tzinfo=UTC).timestamp() * 1000)
+    assert read(spark, tmp_path, head=head) == [("x.log", 1, 5, " ERROR a\n b", at, 60), ("x.log", 2, 0, " c", at + 1000, 60)]
