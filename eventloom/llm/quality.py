@@ -117,9 +117,10 @@ def fit_threshold(scored: DataFrame, labels: DataFrame) -> float | None:
 
     From a histogram of a fixed number of bins over all labelled documents: among the bin edges that keep
     at least MIN_KEPT of the good ones, the one that rejects most bad ones, the lowest if several do.
-    Without labels of both kinds there is none, and every document passes.
+    Without labels of both kinds there is none, and every document passes. A document labelled more than once
+    counts with its lowest quality.
     """
-    marks = settle(labels.select("doc_id", "quality").dropna().dropDuplicates(["doc_id"]), "marks")
+    marks = settle(labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality")), "marks")
     bin_of = F.least(F.greatest(F.floor(F.col("score") / BIN) + BINS // 2, F.lit(0)), F.lit(BINS - 1))
     rows = (
         join_small(scored.where(~F.col("base_failed")).select("doc_id", "score"), marks, "doc_id", "inner")

@@ -210,6 +210,9 @@ def test_ratio_rejects_what_is_unlike_the_trusted(spark):
     threshold = quality.fit_threshold(scored, labels)
     assert {r["doc_id"] for r in scored.collect() if r["score"] >= threshold} == set(range(40))
     assert quality.fit_threshold(scored, labels.where("quality = 1")) is None
+    doubled = labels.union(spark.createDataFrame([(i, 0, 0) for i in range(0, 8, 2)], labels.schema))
+    lowest = labels.withColumn("quality", F.when(F.col("doc_id") < 8, 0).otherwise(F.col("quality")))
+    assert quality.fit_threshold(scored, doubled) == quality.fit_threshold(scored, lowest)
     assert quality.quality(docs(spark, []), labels).count() == 0
     assert quality.quality(docs(spark, [None, "w " * 60]), labels.limit(0)).count() == 2
 
