@@ -1,9 +1,12 @@
 """WARC archives with revisit records, and their index merged into capture histories.
 
-Archives are written by Spark's text writer (gzip), so they go to any store Spark writes to and a lost
-task is simply written again. Each archive is one sorted run of captures. The index of all runs is dealt
-by ranges of (URL key, time, page), so a hot URL spreads over tasks; each task merges its runs with a
-loser tree.
+Every record is a gzip member of its own, so the index names places in the file and a record is fetched by its
+bytes alone. The members are made in the tasks and written by Spark's text writer, so archives go to any store Spark
+writes to and a lost task is simply written again. The writer ends every value with a byte of our choice: that
+is the zero a member ends with (the top byte of its length; after a record of 16 MB or more comes an empty
+member). Archives are cut at FILE_BYTES, and each is one sorted run of captures. The index of all runs is
+dealt by ranges of (URL key, time, page), so a hot URL spreads over tasks; each task merges its runs with a loser
+tree. A task holds the index rows of its range, not the pages; a reader holds one archive.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ import base64
 import gzip
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,7 +26,10 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.frames import join_small, settle
 
-RECORDS_PER_FILE = 10_000
+FILE_BYTES = 64 << 20  # of an archive, compressed; a longer record has an archive of its own
+BATCH_BYTES = 8 << 20
+_EMPTY = gzip.compress(b"", mtime=0)
+_STEP = 1 << 16
 _CRLF = "\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: RFC 4648
 INDEX = "urlkey string, captured_at string, page_id bigint, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, archive string, offset bigint, length bigint"
@@ -44,7 +51,32 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
 
 
-def write_archives(pages: DataFrame, path: str, captured_at: Column, revisit_from: int = 0) -> None:
+def _members(batches: Iterator[pa.RecordBatch], file_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member without its last byte (a zero), under the number of its archive in the task."""
+    part = used = held = 0
+    out: list[list] = [[] for _ in range(5)]
+    kinds = [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+    names = ["part", "urlkey", "captured_at", "page_id", "member"]
+    for batch in batches:
+        records = batch.column(3)
+        for i in range(batch.num_rows):
+            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+            member = packer.compress(memoryview(records[i].as_buffer())) + packer.flush()
+            if member[-1]:
+                member += _EMPTY
+            if used and used + len(member) > file_bytes:
+                part, used = part + 1, 0
+            used, held = used + len(member), held + len(member)
+            for column, value in zip(out, (part, *(batch.column(k)[i].as_py() for k in range(3)), member[:-1])):
+                column.append(value)
+            if held > BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+                out, held = [[] for _ in range(5)], 0
+    if out[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+
+
+def write_archives(pages: DataFrame, path: str, captured_at: Column, revisit_from: int = 0, file_bytes: int = FILE_BYTES) -> None:
     """Write one record per row of (page_id, url, html); a null html is an empty payload.
 
     Among equal payloads of at least `revisit_from` bytes the smallest page_id is the response and the
@@ -90,32 +122,45 @@ def write_archives(pages: DataFrame, path: str, captured_at: Column, revisit_fro
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit(_CRLF),
         block,
-        F.lit("\r\n\r"),  # the writer adds the last \n
+        F.lit(_CRLF * 2),
+    )
+    order = ["urlkey", "captured_at", "page_id"]
+    sorted_rows = rows.withColumn("urlkey", url_key(F.col("url"))).sortWithinPartitions(*order)
+    members = sorted_rows.select(*order, record.cast("binary").alias("record")).mapInArrow(
+        lambda batches: _members(batches, file_bytes), "part int, urlkey string, captured_at string, page_id bigint, member binary"
     )
     (
-        rows.withColumn("urlkey", url_key(F.col("url")))
-        .sortWithinPartitions("urlkey", "captured_at", "page_id")
-        .select(record.alias("value"))
-        .write.option("compression", "gzip")
-        .option("lineSep", "\n")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        members.sortWithinPartitions("part", *order)
+        .select("part", F.col("member").cast("string").alias("value"))
+        .write.partitionBy("part")
+        .option("lineSep", "\0")
         .text(path)
     )
 
 
-def _records(stream: io.BufferedIOBase) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of each record, by its Content-Length."""
+def _unpacked(data: memoryview) -> Iterator[tuple[int, int, bytes]]:
+    """(offset, length, record) of each member; an empty member belongs to the one before it."""
     at = 0
-    while line := stream.readline():
-        size, headers = len(line), {}
-        while (line := stream.readline()) not in (b"\r\n", b""):
-            size += len(line)
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            headers[name.lower()] = value.strip()
-        block = stream.read(int(headers["content-length"]))
-        size += len(line) + len(block) + len(stream.read(4))
-        yield at, size, headers, block
-        at += size
+    while at < len(data):
+        end, inflate, pieces = at, zlib.decompressobj(31), []
+        while not inflate.eof:
+            piece = data[end : end + _STEP]
+            pieces.append(inflate.decompress(piece))
+            end += len(piece) - len(inflate.unused_data)
+        if data[end : end + len(_EMPTY)] == _EMPTY:
+            end += len(_EMPTY)
+        yield at, end - at, b"".join(pieces)
+        at = end
+
+
+def _record(raw: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and block of a record, the block by its Content-Length."""
+    stream, headers = io.BytesIO(raw), {}
+    stream.readline()
+    while (line := stream.readline()) not in (b"\r\n", b""):
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        headers[name.lower()] = value.strip()
+    return headers, stream.read(int(headers["content-length"]))
 
 
 def _page(urn: str | None) -> int | None:
@@ -127,7 +172,8 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for path, content, urls in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(0)):
             rows = []
-            for offset, length, headers, block in _records(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
+            for offset, length, raw in _unpacked(memoryview(content.as_buffer()).cast("B")):
+                headers, block = _record(raw)
                 payload = block.partition(b"\r\n\r\n")[2]
                 kind = headers["warc-type"]
                 if kind == "response":
@@ -145,12 +191,32 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One index row per record; size and digest of a response are computed from its payload."""
+    """One index row per record: its place in its archive; size and digest of a response come from its payload."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     rows = files.mapInArrow(_read_batches, "url string, " + INDEX.partition(", ")[2])
     return rows.withColumn("urlkey", url_key(F.col("url"))).drop("url").select(*[c.split()[0] for c in INDEX.split(", ")])
 
 
+def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            headers, block = _record(gzip.decompress(batch.column(1)[i].as_buffer()))
+            columns = [batch.column(0).slice(i, 1), pa.array([headers["warc-type"]]), pa.array([block.partition(b"\r\n\r\n")[2]])]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "record_type", "payload"])
+
+
+def fetch_records(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """(page_id, record_type, payload) of the index rows in `wanted`, unpacked from their own bytes only.
+
+    Uses archive, offset, length and page_id. A revisit has an empty payload; fetch the page it refers to.
+    """
+    places = settle(wanted.select("archive", "offset", "length", "page_id"), "wanted-records")
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), "content")
+    member = F.substring("content", (F.col("offset") + 1).cast("int"), F.col("length").cast("int"))
+    picked = join_small(files, places, "archive", "inner").select("page_id", member.alias("member"))
+    return picked.mapInArrow(_fetched, "page_id bigint, record_type string, payload binary")
+
+
 class LoserTree:
     """Merges sorted runs: each inner node keeps the loser of its match, the root the winner."""
 

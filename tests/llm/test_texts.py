@@ -1,6 +1,7 @@
 """HTML extraction, chat formatting, WARC, quality rules, packing and license scans against plain Python."""
 
 import base64
+import gzip
 import hashlib
 import re
 import textwrap
@@ -168,6 +169,30 @@ def test_archives_round_trip(spark, tmp_path):
     assert ordered[-1][0] == "org,example,www)/p?2"
 
 
+def test_records_are_fetched_by_their_bytes(spark, tmp_path):
+    """Small archives, cut by bytes; a page over 16 MB, whose member ends in no zero of its own."""
+    bodies = [f"<p>{i}</p>" + "ä\n\0" * (i * 50) for i in range(60)] + ["", None, "x" * (17 << 20), "<p>1</p>" + "ä\n\0" * 50]
+    path = f"{tmp_path}/w"
+    warc.write_archives(pages(spark, [(i, f"http://h/{i % 7}", b) for i, b in enumerate(bodies)]), path, F.lit("2024-01-01T00:00:00Z"), 1, file_bytes=2000)
+    index = warc.merge_index(warc.read_archives(spark, path))
+    places = defaultdict(list)
+    for r in index.collect():
+        places[r["archive"]].append((r["offset"], r["length"], r["urlkey"], r["page_id"]))
+    assert len(places) > 8 and sum(map(len, places.values())) == len(bodies)
+    for archive, members in places.items():
+        members.sort()
+        data = open(archive.removeprefix("file:"), "rb").read()
+        assert [m[0] for m in members] + [len(data)] == [0] + [m[0] + m[1] for m in members]
+        assert [m[2:] for m in members] == sorted(m[2:] for m in members)
+        assert len(data) < 2100 or len(members) == 1
+        assert gzip.decompress(data).count(b"WARC/1.1\r\n") == len(members)
+        for offset, length, _, page in members:
+            raw = gzip.decompress(data[offset : offset + length])
+            assert f"WARC-Record-ID: <urn:page:{page}>".encode() in raw and raw.endswith(b"\r\n\r\n")
+    got = {r["page_id"]: (r["record_type"], bytes(r["payload"])) for r in warc.fetch_records(spark, path, index.where("page_id >= 50")).collect()}
+    assert got == {i: ("response", (b or "").encode()) for i, b in enumerate(bodies) if 50 <= i < 63} | {63: ("revisit", b"")}
+
+
 def test_loser_tree():
     runs = [[(1,), (4,), (4,)], [], [(0,), (4,), (9,)], [(2,)], [(4,)]]
     assert [runs[r][i] for r, i in warc.LoserTree(runs)] == sorted(x for run in runs for x in run)
