@@ -32,7 +32,7 @@ from eventloom.schema import (
 from eventloom.session import fresh_dir
 from eventloom.sources import admission, blobs, tolerant
 from eventloom.sources.events import read_structured_lines, read_unstructured_lines, structured_events
-from eventloom.sources.store import store_events
+from eventloom.sources.store import append_events, store_events
 from eventloom.streaming.normalise import append_to, normalise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +204,19 @@ def unstructured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(f"WITH {_FOUR} SELECT {_COLUMNS} FROM four")
+def appended_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four streams loaded in three batches, the second one tried twice: positions as if loaded at once."""
+    rows, path = dt.table(spark, sf_dir, "events"), fresh_dir(spark, "appended")
+    last = rows.agg(F.max("event_id")).first()[0] or 0
+    third = F.col("event_id") * 3 / (last + 1)
+    for batch in (0, 1, 1, 2):
+        part = rows.where(F.floor(third) == batch).withColumn(STREAM, F.concat(F.lit("s"), F.col("user_id") % 4))
+        events = dt.build_structured(indexing.index_by_order(part, "event_id"), F.col(STREAM), F.col(IDX))
+        append_events(events, path, f"load-{batch}", bits=10)
+    return _flat(LogTable.appended(spark, path).events)
+
+
 def _cut_off_records(spark: SparkSession, sf_dir: str, in_the_middle: bool = True) -> DataFrame:
     """A stream per 1000 events; the last record of each cut off, some broken in the middle too."""
     e = F.col("event_id")

@@ -11,7 +11,7 @@ from eventloom.operators import files, filters, nearest, paging
 from eventloom.schema import STREAM, STRUCTURED, UNSTRUCTURED
 from eventloom.session import settle
 from eventloom.sources.admission import Opened
-from eventloom.sources.store import of_stream, open_events
+from eventloom.sources.store import of_stream, open_appended, open_events
 from eventloom.sources.zones import open_zones
 
 
@@ -32,6 +32,12 @@ class LogTable:
         """A table that store_events wrote, with its zone map: counts and lookups read the map first."""
         return cls(open_events(spark, path), stream_type, zones=open_zones(spark, path))
 
+    @classmethod
+    def appended(cls, spark: SparkSession, path: str, stream_type: str = STRUCTURED) -> LogTable:
+        """A table that append_events grows, as of its complete loads now."""
+        events, zones = open_appended(spark, path)
+        return cls(events, stream_type, zones=zones)
+
     @classmethod
     def opened(cls, tables: Opened) -> tuple[LogTable, LogTable]:
         """The structured and the unstructured table of a catalog that open_streams stored."""
