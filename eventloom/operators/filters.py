@@ -79,12 +79,17 @@ def match_offsets(
         "match-counts",
     )
     before = carry_before(counts, [STREAM], "_chunk", "_n", "sum", "_before")
+    return before.where(F.col("_n") > 0), active_totals(counts, stream_type)
+
+
+def active_totals(counts: DataFrame, stream_type: str = STRUCTURED) -> DataFrame:
+    """Matches and events of the streams whose filter is active, from counts per chunk."""
     totals = counts.groupBy(STREAM).agg(
         F.sum("_n").alias("_matches"), F.sum("_all").alias("_events")
     )
     if stream_type == STRUCTURED:
         totals = totals.where(F.col("_matches") != F.col("_events"))
-    return before.where(F.col("_n") > 0), totals
+    return totals
 
 
 def filtered_index_map(

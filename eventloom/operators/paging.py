@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.text import render_structured, render_unstructured
+from eventloom.operators.bitmaps import offsets, unpack
 from eventloom.operators.chunks import CHUNK_BITS, chunk_of
 from eventloom.operators.filters import match_offsets, number_hits
 from eventloom.operators.indexing import event_number
@@ -120,7 +121,39 @@ def page_filtered(
         wanted.select(STREAM, "_chunk"), [STREAM, "_chunk"], "left_semi"
     )
     inside = (F.col("filtered_idx") >= begin) & (F.col("filtered_idx") < end)
-    keys = settle(number_hits(hits, wanted).where(inside).select(STREAM, IDX), "page-keys")
+    return events_at(events, number_hits(hits, wanted).where(inside), stream_type)
+
+
+def page_kept(
+    events: DataFrame,
+    bitmaps: DataFrame,
+    begin: int,
+    end: int,
+    stream_type: str = STRUCTURED,
+    strict: bool = False,
+    counted: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """page_filtered for a filter kept as bitmaps: its predicate is not evaluated again.
+
+    Only the bitmaps of the chunks that hold the page are unpacked; of the events only the page is read.
+    """
+    if begin < 0 or begin > end:
+        if strict:
+            raise ValueError(f"invalid range [{begin}, {end})")
+        return decode(events.where(F.lit(False)), stream_type)
+    before, totals = counted or offsets(bitmaps, stream_type)
+    long_enough = totals.where(F.col("_matches") >= end)
+    if strict and bitmaps.select(STREAM).distinct().join(long_enough, STREAM, "left_anti").limit(1).count():
+        raise ValueError(f"no filtered page [{begin}, {end}): filter not active or list too short")
+    wanted = before.where((F.col("_before") < end) & (F.col("_before") + F.col("_n") > begin))
+    keys = unpack(bitmaps, wanted.join(long_enough, STREAM, "left_semi"))
+    return events_at(events, keys.where((F.col("filtered_idx") >= begin) & (F.col("filtered_idx") < end)), stream_type)
+
+
+def events_at(events: DataFrame, keys: DataFrame, stream_type: str = STRUCTURED) -> DataFrame:
+    """The decoded events at (stream_id, log_event_idx), in order, read by index ranges that the scan can skip with."""
+    empty = decode(events.where(F.lit(False)), stream_type)
+    keys = settle(keys.select(STREAM, IDX), "page-keys")
     ends = [F.min(IDX).alias("low"), F.max(IDX).alias("high")]
     spans = keys.groupBy(STREAM).agg(*ends).limit(PAGE_RANGES + 1).collect()
     if not spans:

@@ -619,6 +619,27 @@ def filtered_index_map_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filtered_index_map(dt.four_streams(spark, sf_dir), condition, bits=6)
 
 
+@check(ORACLES["filtered_index_map"])
+def filtered_index_map_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filtered index map of two kept filters, combined as bitmaps."""
+    log = LogTable(dt.four_streams(spark, sf_dir))
+    return (log.filter(levels=[4, 5, 6]).keep() & log.filter(predicate=kv("k") >= 50).keep()).filtered_index_map()
+
+
+@check(
+    f"""WITH {_FOUR}, hits AS (SELECT *, count(*) OVER (PARTITION BY stream_id) AS n,
+        row_number() OVER (PARTITION BY stream_id ORDER BY log_event_idx) - 1 AS filtered_idx
+        FROM four WHERE log_level = 5 OR k < 10)
+    SELECT stream_id, log_event_idx + 1 AS log_event_num, log_level, timestamp, utc_offset
+    FROM hits WHERE n >= 40 AND filtered_idx >= 10 AND filtered_idx < 40"""
+)
+def page_filtered_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of the events that match one of two kept filters."""
+    log = LogTable(dt.four_streams(spark, sf_dir))
+    found = log.filter(levels=[5]).keep() | log.filter(predicate=kv("k") < 10).keep()
+    return found.page(10, 40, use_filter=True).select(STREAM, "log_event_num", LEVEL, TS, OFFSET)
+
+
 @check(f"WITH {_ONE} {_DECODED} FROM one WHERE false")
 def page_filtered_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A filter that keeps every event of a structured stream is not active: no filtered page."""
