@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from eventloom.functions.keypaths import string_at, type_at, value_at
 from eventloom.schema import KeyPath
 
-_COMPARE = {
+COMPARE = {
     "eq": lambda a, b: a == b,
     "lt": lambda a, b: a < b,
     "le": lambda a, b: a <= b,
     "gt": lambda a, b: a > b,
     "ge": lambda a, b: a >= b,
 }
-_LONG_RANGE = range(-(2**63), 2**63)
+LONG_RANGE = range(-(2**63), 2**63)
 
 
 class KvLeaf:
@@ -44,7 +44,7 @@ class KvLeaf:
             text = string_at(self.path)
             if case_sensitive:
                 return _settled(text == F.lit(value))
-            return _settled(_fold(text) == _fold(F.lit(value)))
+            return _settled(folded(text) == folded(F.lit(value)))
         return self._number("eq", value)
 
     def matches(self, pattern: str, case_sensitive: bool = False) -> Column:
@@ -71,10 +71,10 @@ class KvLeaf:
     def _number(self, op: str, value: int | float) -> Column:
         if isinstance(value, bool) or not isinstance(value, (int, float)):
             raise TypeError(f"numeric comparison needs a number, got {value!r}")
-        compare = _COMPARE[op]
+        compare = COMPARE[op]
         kind = type_at(self.path)
         as_double = compare(value_at(self.path, "double"), F.lit(float(value)))
-        if isinstance(value, int) and value in _LONG_RANGE:
+        if isinstance(value, int) and value in LONG_RANGE:
             on_integers = compare(value_at(self.path, "bigint"), F.lit(value).cast("bigint"))
         else:
             on_integers = as_double
@@ -107,7 +107,7 @@ def wildcard_to_regex(pattern: str, case_sensitive: bool) -> str:
     return flags + r"\A" + "".join(body) + r"\z"
 
 
-def _fold(text: Column) -> Column:
+def folded(text: Column) -> Column:
     return F.translate(text, string.ascii_lowercase, string.ascii_uppercase)
 
 

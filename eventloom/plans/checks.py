@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.derive import ntz_to_millis
+from eventloom.functions.kept import keep_keys
 from eventloom.functions.levels import level_name
 from eventloom.functions.predicates import kv
 from eventloom.functions.text import repair_utf8
@@ -34,6 +35,7 @@ from eventloom.sources import admission, blobs, tolerant
 from eventloom.sources.events import read_structured_lines, read_unstructured_lines, structured_events
 from eventloom.sources.store import append_events, store_events
 from eventloom.streaming.normalise import append_to, normalise
+from eventloom.streaming.positions import append_positions, chronology_so_far, offset_changes_so_far
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -526,6 +528,31 @@ def kv_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(f"WITH {_ONE} SELECT {_COLUMNS} FROM one WHERE log_level IN (4, 5, 6) AND k >= 50")
+def kv_filter_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key k stored as plain columns, so that the scan gets the predicate."""
+    path = fresh_dir(spark, "kept-events")
+    store_events(keep_keys(dt.one_stream(spark, sf_dir), [KeyPath(False, ("k",))]), path)
+    log = LogTable.stored(spark, path)
+    return _flat(log.filter(levels=[4, 5, 6], predicate=log.kv("k") >= 50).filtered_events())
+
+
+@check(ORACLES["kv_predicates"])
+def kv_predicates_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each kind of predicate on keys stored as plain columns."""
+    kept = [KeyPath(False, ("k",)), KeyPath(False, ("k", "a", "b"))]
+    log = LogTable(keep_keys(dt.irregular_events(spark, sf_dir), kept))
+    return log.events.select(
+        IDX,
+        (log.kv("k") >= 50).alias("at_least_50"),
+        log.kv("k").matches("5*").alias("text_5"),
+        log.kv("k").exists().alias("has_k"),
+        log.kv("k").eq(None).alias("k_is_null"),
+        log.kv("k", "a", "b").eq(True).alias("nested_true"),
+        (~(log.kv("k") >= 50)).alias("below_50"),
+    )
+
+
 @check(
     f"""WITH {_FOUR}, s AS (SELECT stream_id, count(*) AS n_events,
         count(*) FILTER (WHERE log_level IN (4, 5, 6) AND k >= 50) AS n_matches FROM four GROUP BY stream_id)
@@ -945,3 +972,43 @@ def streaming_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "normalised")
     append_to(paging.decode(events), f"{out}/table", f"{out}/progress").awaitTermination()
     return spark.read.parquet(f"{out}/table")
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """`events` with every 97th set back an hour outside s0, arriving in thirds; the query ends and starts again between them."""
+    rows, out = dt.table(spark, sf_dir, "events"), fresh_dir(spark, "streamed")
+    third = F.floor(F.col("event_id") * 3 / ((rows.agg(F.max("event_id")).first()[0] or 0) + 1))
+    shaken = F.when(
+        (F.col(STREAM) != "s0") & (F.col("event_id") % 97 == 0), ntz_to_millis(F.col("ts")) - 3600000
+    ).otherwise(ntz_to_millis(F.col("ts")))
+    for part in range(3):
+        rows.where(third == part).write.mode("append").parquet(f"{out}/in")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        append_positions(
+            arriving.withColumn(STREAM, F.concat(F.lit("s"), F.col("user_id") % 4)),
+            lambda numbered: dt.build_structured(numbered, F.col(STREAM), F.col(IDX), shaken),
+            ["event_id"],
+            f"{out}/table",
+            f"{out}/progress",
+            bits=10,
+        ).awaitTermination()
+    return f"{out}/table"
+
+
+@check(
+    f"""WITH {_FOUR} SELECT stream_id, log_event_idx, source_file, log_level, timestamp
+        - CASE WHEN stream_id <> 's0' AND event_id % 97 = 0 THEN 3600000 ELSE 0 END AS timestamp, utc_offset FROM four"""
+)
+def streaming_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a stream in three micro-batches with restarts, at the positions of one batch load."""
+    return _flat(LogTable.appended(spark, _streamed(spark, sf_dir)).events)
+
+
+@check(ORACLES["offset_changes"])
+def streaming_offset_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offset_changes_so_far(spark, _streamed(spark, sf_dir))
+
+
+@check(ORACLES["chronology_check"])
+def streaming_chronology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chronology_so_far(spark, _streamed(spark, sf_dir))

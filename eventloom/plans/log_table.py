@@ -7,8 +7,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.kept import leaf_of
+from eventloom.functions.predicates import KvLeaf
 from eventloom.operators import bitmaps, files, filters, nearest, paging
-from eventloom.schema import STREAM, STRUCTURED, UNSTRUCTURED
+from eventloom.schema import STREAM, STRUCTURED, UNSTRUCTURED, KeyPath
 from eventloom.session import settle
 from eventloom.sources.admission import Opened
 from eventloom.sources.store import of_stream, open_appended, open_events
@@ -78,6 +80,10 @@ class LogTable:
     def file_names(self) -> DataFrame:
         return files.file_names(self.events)
 
+    def kv(self, *parts: str, auto: bool = False) -> KvLeaf:
+        """functions.predicates.kv for this table: reads a kept key's plain columns if there are any."""
+        return leaf_of(self.events, KeyPath(auto, parts))
+
     def filter(
         self, levels: Iterable[int] | None = None, predicate: Column | None = None
     ) -> LogTable:

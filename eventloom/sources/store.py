@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.kept import kept_columns
 from eventloom.operators.chunks import CHUNK_BITS, broadcast_if_small
 from eventloom.schema import IDX, STREAM, TS
 from eventloom.sources.zones import CHUNK, ZONES, write_zones, zones_of
@@ -76,7 +77,31 @@ def _appended_zones(spark: SparkSession, path: str, batches: list[str]) -> DataF
     )
 
 
-def append_events(events: DataFrame, path: str, batch: str, bits: int = CHUNK_BITS) -> bool:
+def _is_complete(spark: SparkSession, root: str, folder: str) -> bool:
+    try:
+        spark.read.parquet(f"{root}/{COMMITS}/{folder}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def _check_kept(events: DataFrame, root: str) -> None:
+    """All loads keep the same keys: a load without a key's columns would read as events without that key."""
+    try:
+        known = kept_columns(events.sparkSession.read.parquet(root))
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # nothing but empty loads
+            return
+        raise
+    if known != kept_columns(events):
+        raise ValueError(f"kept keys differ from those of earlier loads: {sorted(known ^ kept_columns(events))}")
+
+
+def append_events(
+    events: DataFrame, path: str, batch: str, bits: int = CHUNK_BITS, ends: DataFrame | None = None
+) -> bool:
     """Add a load to a growing table: its events, at positions from 0 in each stream, go on where the stream ended.
 
     Returns False, and reads no event, if this batch is complete already, so a load may be tried again at
@@ -84,16 +109,24 @@ def append_events(events: DataFrame, path: str, batch: str, bits: int = CHUNK_BI
     written last; what a broken try left behind is never read, and is overwritten by the next. Where streams end
     comes from the zone map, not from the events. A stream whose count does not fit its first and last position
     raises, and nothing is added (a repeat that makes up for a gap is not noticed). One load at a time: two at once would number the same positions. All loads use the same `bits`.
+
+    A caller that knows where each stream ended gives `ends` (stream_id, _base); then no other load is looked at.
     """
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch):
         raise ValueError(f"batch name {batch!r}: only letters, digits and _.- are allowed")
     spark, root, folder = events.sparkSession, path.rstrip("/"), f"{BATCH}=b-{batch}"
-    done = _batches(spark, root)
-    if f"b-{batch}" in done:
-        return False
-    moved, ends = events, None
-    if done:
-        ends = _appended_zones(spark, root, done).groupBy(STREAM).agg((F.max("max_idx") + 1).alias("_base"))
+    if ends is not None:
+        if _is_complete(spark, root, folder):
+            return False
+    else:
+        done = _batches(spark, root)
+        if f"b-{batch}" in done:
+            return False
+        if done:
+            _check_kept(events, root)
+            ends = _appended_zones(spark, root, done).groupBy(STREAM).agg((F.max("max_idx") + 1).alias("_base"))
+    moved = events
+    if ends is not None:
         moved = events.join(broadcast_if_small(ends), STREAM, "left")
         moved = moved.withColumn(IDX, F.col(IDX) + F.coalesce("_base", F.lit(0))).select(*events.columns)
     _write(moved, f"{root}/{folder}", "overwrite")
