@@ -100,6 +100,8 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[_Open] = []
+        self.places: dict[str, list[int]] = {}  # of the open elements of a name in the stack
+        self.blocks: list[int] = []  # places of the open block elements
         self.text: list[tuple[str, int, bool]] = []  # piece, region, kept
         self.pieces: list[list[tuple[str, int, bool]]] = []  # of each block
         self.regions: list[tuple[int, bool]] = []  # region around it, whether it holds an article
@@ -134,11 +136,8 @@ class _Blocks(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _BLOCK:
             self._flush()
-            if tag in _CLOSES_P and any(o.tag == "p" for o in self.stack):
-                last = max(i for i, o in enumerate(self.stack) if o.tag == "p")
-                inner = {o.tag for o in self.stack[last + 1 :]}
-                if not inner & _BLOCK:  # an open paragraph ends; inline elements left open end with it
-                    del self.stack[last:]
+            if tag in _CLOSES_P and self.places.get("p") and self.places["p"][-1] == self.blocks[-1]:
+                self._close(self.blocks[-1])  # an open paragraph ends; inline elements left open end with it
         elif tag == "br":
             self._add(" ")
         if tag in _VOID:
@@ -156,8 +155,19 @@ class _Blocks(HTMLParser):
                 self.regions[around] = (self.regions[around][0], True)
                 around = self.regions[around][0]
         in_article = in_article or tag == "article" or values.get("role") == "article"
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _BLOCK:
+            self.blocks.append(len(self.stack))
         self.stack.append(_Open(tag, dropped, region, inside or opens, in_article))
 
+    def _close(self, place: int) -> None:
+        """End the element at this place of the stack and all within it."""
+        while len(self.stack) > place:
+            tag = self.stack.pop().tag
+            self.places[tag].pop()
+            if tag in _BLOCK:
+                self.blocks.pop()
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in _VOID and tag not in ("svg", "math"):
@@ -168,16 +178,14 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in _BLOCK:
             self._flush()
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        if self.places.get(tag):
+            self._close(self.places[tag][-1])
 
     def parse_html_declaration(self, i: int) -> int:
         """As HTML has it, '<![' begins a comment up to '>', but for CDATA in svg and math."""
         if not self.rawdata.startswith("<![", i):
             return super().parse_html_declaration(i)
-        if self.rawdata.startswith("<![CDATA[", i) and any(o.tag in ("svg", "math") for o in self.stack):
+        if self.rawdata.startswith("<![CDATA[", i) and (self.places.get("svg") or self.places.get("math")):
             end = self.rawdata.find("]]>", i)
             return end + 3 if end >= 0 else -1
         return self.parse_bogus_comment(i)

@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -108,6 +109,14 @@ def test_no_pages(spark):
     assert html.extract(pages(spark, [])).count() == 0
 
 
+def test_very_deep_markup_takes_linear_time():
+    n, begun = 100_000, time.time()
+    assert html.page_blocks("<div>" * n + "x" + "</div>" * n) == [("x", False)]
+    assert len(html.page_blocks("<main>" + "<div>" * n + "</i>" * n + "<p>x" * n)) == n
+    assert html.page_blocks("<p>" + "<b>" * n + "y<p>z") == [("y", False), ("z", False)]
+    assert time.time() - begun < 30
+
+
 # Chat
 
 
