@@ -106,6 +106,21 @@ def test_join_of_hot_groups(spark, monkeypatch):
     assert join_of(frame(spark, rows), 4, 85) == plain_join(rows, 4, 85)
 
 
+@pytest.mark.parametrize("told", [500_000, 0])
+def test_near_copies_have_one_row_for_each_hub(spark, monkeypatch, told):
+    """However many long keys sets share: rows do not grow with sets times keys."""
+    for name, value in (("LIST", 3), ("RARE_LIST", 5), ("FREQUENT_FROM", 4), ("CHUNK_COUNT", 2)):
+        monkeypatch.setattr(jaccard, name, value)
+    monkeypatch.setattr(jaccard, "LONG_KEYS", told, raising=False)
+    kept, settle = {}, jaccard.settle
+    monkeypatch.setattr(jaccard, "settle", lambda rows, label: kept.setdefault(label, settle(rows, label)))
+    rows = [(c, " ".join([f"w{i}" for i in range(90)] + [f"own{c}"] * (c % 9))) for c in range(40)]
+    rows += [(100 + c, " ".join(f"x{i if i != c else c + 500}" for i in range(90))) for c in range(0, 80, 2)]
+    assert join_of(frame(spark, rows), 5, 80) == plain_join(rows, 5, 80)
+    pairs = [(r["a"], r["b"]) for r in kept["stars"].collect()]
+    assert pairs and len(pairs) == len(set(pairs))
+
+
 def test_join_of_nothing(spark):
     assert join_of(frame(spark, []), 4, 85) == []
     assert join_of(frame(spark, [(1, None), (2, None)]), 4, 85) == [(1, 0, 1), (2, 0, 2)]
