@@ -6,7 +6,8 @@
    chunk's encoding only the core is taken, between its first and last point of agreement; what lies between two
    cores is encoded anew in its document. A point of agreement is an end of a word before a white space: no
    pre-token crosses it whatever the surroundings, and pre-tokens after it depend on nothing before it. That the
-   encoding of the chunk does break there is checked in bytes; were it not so, the job would stop.
+   encoding of the chunk does break at all of them is checked in bytes; were it not so, the job would stop.
+   For the same reason what a document encodes itself is cut at these points, and a task encodes equal pieces once.
 3. Documents keep the ids of their own parts and references to shared chunks; only references and the ids of
    documents that have some are shuffled, never texts other than one copy of a shared chunk a task.
 
@@ -35,8 +36,11 @@ WINDOW_DOUBLINGS = 5  # a window of 32 bytes
 CHUNK_BITS = 9  # chunks of 512 bytes on average
 LEAST, MOST = 64, 1 << 16  # sizes of chunks worth and fit to be shared; others are encoded in place
 PIECE = 1 << 17
+KNOWN, KNOWN_BYTES = 300_000, 8 << 20  # words whose ids a worker keeps, and their bytes
+TOGETHER = 1 << 17  # words looked up together
 FILTER_BITS = 24  # a bitmap of 2 MB
 HOT = 20_000
+BLANKS = b" \t\n\r"
 CHUNK = "fp bigint, check bigint"
 ROW = f"row_id bigint, doc_id bigint, ids binary, gaps binary, refs array<struct<fp:bigint,check:bigint>>, {CHUNK}, chunk string"
 
@@ -68,12 +72,21 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray, bits: int = CHUNK_BITS)
 
 
 def agreements(data: np.ndarray) -> np.ndarray:
-    """Positions of a blank, tab or line end right after a printable ASCII byte."""
+    """Positions of a blank, tab or line end right after a printable ASCII byte, or a character of U+00C0 to U+07FF.
+
+    None of these is white space; characters beyond may be.
+    """
     space = (data == 32) | (data == 9) | (data == 10) | (data == 13)
     solid = (data > 32) & (data < 127)
+    solid[1:] |= (data[:-1] >= 0xC3) & (data[:-1] <= 0xDF)
     return 1 + np.flatnonzero(space[1:] & solid[:-1])
 
 
+def ends_solid(word: bytes) -> bool:
+    """Whether a blank right after the word is a point of agreement."""
+    return 32 < word[-1] < 127 or len(word) > 1 and 0xC3 <= word[-2] <= 0xDF
+
+
 def _chunks(column: pa.Array) -> tuple[np.ndarray, ...]:
     """Bytes and offsets of the texts; start, end, core start and core end of chunks fit to be shared; their hashes."""
     data, offsets = buffer_of(column)
@@ -114,6 +127,11 @@ class Coder:
         self.sizes = np.array([len(b) for b in self.bytes])
         self.decimal = [str(i) for i in range(len(self.bytes))]
         self.kind = np.uint16 if len(self.bytes) <= 1 << 16 else np.uint32
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.known_bytes = {}, 0  # a piece's place in the two arrays
+        self.known_ids, self.known_ends = np.zeros(0, self.kind), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text's ids."""
@@ -129,6 +147,53 @@ class Coder:
             at = to
         return np.concatenate(flat), np.array(sizes, np.int64)
 
+    def encode_joined(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """encode() of words of which each begins with a blank and ends as before a point of agreement."""
+        ends = np.cumsum([len(word) for word in words])
+        raw = b"".join(words)
+        pieces, _ = _pieces(np.zeros(1, np.int64), ends[-1:], ends)
+        ids, _ = self.encode([raw[a:z].decode() for a, z in pieces])
+        edges = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(edges, ends)
+        if len(edges) <= last[-1] or (edges[last] != ends).any():
+            raise ValueError("a token crosses the end of a word: this tokenizer can't reuse words")
+        return ids, np.diff(last + 1, prepend=0)
+
+    def encode_known(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """encode() of what lies between points of agreement, equal words once, also those of earlier calls."""
+        if len(self.known) > KNOWN or self.known_bytes > KNOWN_BYTES:
+            self._forget()
+        joined, single = [], []
+        for word in dict.fromkeys(words):
+            if word not in self.known:
+                (joined if word[0] in BLANKS and ends_solid(word) else single).append(word)
+        for new, encode in ((joined, self.encode_joined), (single, lambda some: self.encode([word.decode() for word in some]))):
+            if new:
+                ids, sizes = encode(new)
+                self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+                self.known_bytes += sum(map(len, new))
+                self.known_ids = np.concatenate([self.known_ids, ids])
+                self.known_ends = np.r_[self.known_ends, self.known_ends[-1] + np.cumsum(sizes)]
+        which = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        starts, sizes = self.known_ends[which], np.diff(self.known_ends)[which]
+        place = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return self.known_ids[place], sizes
+
+    def encode_spans(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ascending spans one after the other, and the number of each span's ids; cut at the points inside spans."""
+        low = np.searchsorted(points, starts, "right")
+        inner = np.maximum(np.searchsorted(points, ends, "left") - low, 0)
+        cut = points[np.repeat(low - np.cumsum(inner) + inner, inner) + np.arange(inner.sum())]
+        full = ends > starts
+        begin, end = np.sort(np.r_[starts[full], cut]), np.sort(np.r_[cut, ends[full]])
+        found = [(np.zeros(0, self.kind), np.zeros(0, np.int64))]
+        for at in range(0, len(begin), TOGETHER):
+            some = slice(at, at + TOGETHER)
+            found.append(self.encode_known([raw[a:z] for a, z in zip(begin[some].tolist(), end[some].tolist())]))
+        ids, sizes = (np.concatenate(x) for x in zip(*found))
+        last = np.r_[0, np.cumsum(sizes)][np.cumsum(np.where(full, inner + 1, 0))]
+        return ids, np.diff(last, prepend=0)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -163,9 +228,7 @@ def _split(path: str, bitmap: np.ndarray):
             starts, ends, low, high, fp, check = (x[hit] for x in (starts, ends, low, high, fp, check))
             refs = np.bincount(np.searchsorted(offsets, starts, "right") - 1, minlength=len(batch)) if len(starts) else np.zeros(len(batch), np.int64)
             gap_starts, gap_ends = np.sort(np.r_[offsets[:-1], high]), np.sort(np.r_[offsets[1:], low])
-            pieces, counts = _pieces(gap_starts, gap_ends, agreements(data))
-            ids, sizes = coder.encode([raw[a:z].decode() for a, z in pieces])
-            gaps = np.add.reduceat(sizes, np.r_[0, np.cumsum(counts)[:-1]]) if len(counts) else sizes
+            ids, gaps = coder.encode_spans(raw, gap_starts, gap_ends, agreements(data))
             bounds = np.r_[0, np.cumsum(refs + 1)]
             id_bounds = np.r_[0, np.cumsum(gaps)][bounds]
             pairs = pa.StructArray.from_arrays([pa.array(fp.view(np.int64)), pa.array(check.view(np.int64))], ["fp", "check"])
@@ -194,15 +257,15 @@ def _split(path: str, bitmap: np.ndarray):
 
 
 def core_of(coder: Coder, chunk: str) -> np.ndarray:
-    """Ids of a chunk between its first and last point of agreement, at which its encoding must break."""
+    """Ids of a chunk between its first and last point of agreement; at all of them its encoding must break."""
     data = np.frombuffer(chunk.encode(), np.uint8)
     points = agreements(data)
     ids, _ = coder.encode([chunk])
     edges = np.r_[0, np.cumsum(coder.sizes[ids])]
-    a, z = np.searchsorted(edges, [points[0], points[-1]])
-    if edges[a] != points[0] or edges[z] != points[-1]:
+    at = np.searchsorted(edges, points)
+    if (edges[at] != points).any():
         raise ValueError(f"a token crosses the end of a word: this tokenizer can't reuse chunks: {chunk[:80]!r}")
-    return ids[a:z]
+    return ids[at[0] : at[-1]]
 
 
 def _encode_chunks(path: str):

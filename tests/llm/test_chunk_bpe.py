@@ -103,3 +103,31 @@ def test_texts_may_be_cut_at_any_point_of_agreement(library, monkeypatch):
         monkeypatch.setattr(chunk_bpe, "PIECE", 100)
         pieces, counts = chunk_bpe._pieces(offsets[:-1], offsets[1:], points)
         assert counts.sum() == len(pieces) and [a for a, _ in pieces] == [0, *(z for _, z in pieces[:-1])] and pieces[-1][1] == len(data)
+
+
+def test_words_are_encoded_once(library, monkeypatch):
+    """Every span has the library's ids; a word met before is not encoded again."""
+    coder, texts = chunk_bpe.Coder(PATH), [t or "" for t in made_texts()] + ["été déjà\xa0 été\u2003 déjà\x85 là ", "ночь и ночь "]
+    data, offsets = buffer_of(pa.array(texts))
+    points, encoded, encode = chunk_bpe.agreements(data), [], coder.encode
+    monkeypatch.setattr(coder, "encode", lambda some: encoded.extend(some) or encode(some))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for together in (1 << 17, 50):
+        monkeypatch.setattr(chunk_bpe, "TOGETHER", together)
+        ids, sizes = coder.encode_spans(data.tobytes(), offsets[:-1], offsets[1:], points)
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+        assert 0 < sum(len(t.encode()) for t in encoded) < len(data) / 2
+        encoded_before, encoded[:] = list(encoded), []
+        coder.encode_spans(data.tobytes(), offsets[:-1], offsets[1:], points)
+        assert encoded_before and not encoded
+        coder._forget()
+        monkeypatch.setattr(chunk_bpe, "KNOWN", 1 << 20)
+    monkeypatch.setattr(chunk_bpe, "KNOWN", 20)
+    again, _ = coder.encode_spans(data.tobytes(), offsets[:-1], offsets[1:], points)
+    assert again.tolist() == ids.tolist()
+
+
+def test_words_that_a_token_crosses_stop_the_job(monkeypatch):
+    coder = chunk_bpe.Coder(PATH)
+    with pytest.raises(ValueError, match="crosses"):
+        coder.encode_joined([b" a", b"b"])
