@@ -194,12 +194,22 @@ def unstructured_text_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.partitionBy("part")
         .text(folder)
     )
-    block = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    # Files are cut into many blocks, but a task takes the blocks of many files: each task reports to the driver.
+    last = dt.table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), last // 64_000)
+    cut = {
+        "spark.sql.files.maxPartitionBytes": "65536",
+        "spark.sql.files.maxPartitionNum": str(tasks),
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks),
+    }
+    before = {name: spark.conf.get(name, None) for name in cut}
+    for name, value in cut.items():
+        spark.conf.set(name, value)
     try:
         events = read_unstructured_lines(spark, folder, bits=8)
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     stream = F.regexp_extract(STREAM, "part=([^/]+)", 1).alias(STREAM)
     return paging.decode(events, UNSTRUCTURED).select(
         stream, (F.col("log_event_num") - 1).alias(IDX), LEVEL, MESSAGE, TS, OFFSET

@@ -7,7 +7,9 @@ from datetime import UTC, datetime, timedelta
 import pytest
 
 from eventloom.operators.paging import decode
+from eventloom.plans import checks
 from eventloom.schema import UNSTRUCTURED
+from eventloom.sources import events as sources
 from eventloom.sources.events import TextHead, read_unstructured_lines
 
 HEAD = re.compile(r"(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\.\d{3})(Z|[+-]\d\d:?\d\d)")
@@ -89,3 +91,16 @@ def test_other_heads(spark, tmp_path):
     head = TextHead(r"\[(\d\d/\w{3}/\d{4} \d\d:\d\d:\d\d)\]", "dd/MMM/yyyy HH:mm:ss", has_offset=False, default_offset_seconds=3600)
     at = int(datetime(2024, 2, 1, 2, 4, 5, tzinfo=UTC).timestamp() * 1000)
     assert read(spark, tmp_path, head=head) == [("x.log", 1, 5, " ERROR a\n b", at, 60), ("x.log", 2, 0, " c", at + 1000, 60)]
+
+
+def test_a_task_reads_the_blocks_of_many_files(spark, monkeypatch):
+    """The registered query cuts its files into blocks, yet has a task for each of them no longer."""
+    staged, fresh = [], sources.fresh_dir
+    monkeypatch.setattr(sources, "fresh_dir", lambda session, label: staged.append(fresh(session, label)) or staged[-1])
+    held = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.maxPartitionNum")
+    before = [spark.conf.get(name, None) for name in held]
+    got = checks.QUERIES["unstructured_text_source"](spark, "/root/testdata/sf0.01")
+    assert got.count() == 10_000 and [spark.conf.get(name, None) for name in held] == before
+    lines = spark.read.parquet(staged[0])
+    blocks = lines.select("_path", "_block").distinct().count()
+    assert blocks > lines.select("_path").distinct().count() == 10 and len(lines.inputFiles()) <= 8 < blocks
