@@ -13,13 +13,13 @@ CHUNK = "chunk"
 
 
 def zones_of(events: DataFrame, bits: int = CHUNK_BITS) -> DataFrame:
-    """One row per stream and chunk of 2**bits positions: n, min_idx, max_idx, min_ts, max_ts."""
+    """One row per stream and chunk of 2**bits positions: n, min_idx, max_idx, min_ts, max_ts.
+
+    Events without a time column have a map without min_ts and max_ts: counts read it, lookups by time raise.
+    """
+    times = [F.min(TS).alias("min_ts"), F.max(TS).alias("max_ts")] if TS in events.columns else []
     return events.groupBy(STREAM, chunk_of(F.col(IDX), bits).alias(CHUNK)).agg(
-        F.count("*").alias("n"),
-        F.min(IDX).alias("min_idx"),
-        F.max(IDX).alias("max_idx"),
-        F.min(TS).alias("min_ts"),
-        F.max(TS).alias("max_ts"),
+        F.count("*").alias("n"), F.min(IDX).alias("min_idx"), F.max(IDX).alias("max_idx"), *times
     )
 
 

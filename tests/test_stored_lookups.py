@@ -6,6 +6,7 @@ import time
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from eventloom.operators import diagnostics, files, indexing, nearest
@@ -40,6 +41,15 @@ def test_lookups_through_the_zone_map_equal_a_scan(spark, tmp_path):
     assert log.filter(levels=[6]).zones is log.zones
 
 
+def test_events_without_times_are_stored_and_counted_but_not_looked_up(spark, tmp_path):
+    frame, path = made_events(spark, 1).drop(TS), str(tmp_path / "timeless")
+    store_events(frame, path, bits=4)
+    log = LogTable.stored(spark, path)
+    assert values(log.event_counts(), STREAM, "n_events") == [("a", 200), ("b", 300), ("c", 90), ("d", 1)]
+    with pytest.raises(AnalysisException):
+        log.nearest(500).collect()
+
+
 def test_many_chunks_to_read_are_joined(spark, tmp_path, monkeypatch):
     frame, log = stored(spark, tmp_path)
     monkeypatch.setattr(nearest, "PAGE_RANGES", 2)
