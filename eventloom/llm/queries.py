@@ -111,13 +111,16 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"), 400)
+    """Digests of what is left without 400-byte repeats; then the text without repeated passages of over 50 words, often shorter."""
+    cut = suffix.remove_repeats(table(spark, sf_dir, "documents"), 400, suffix.PASSAGE_BYTES)
     return cut.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        "n_passage_bytes",
+        "text",
     )
 
 

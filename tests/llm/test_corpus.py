@@ -354,6 +354,56 @@ def test_passages_of_51_words_are_cut(spark):
             assert cut[i] == t
 
 
+def without_characters(text, length, counts):
+    """text without the characters that lie wholly in repeated strings of `length` bytes."""
+    data = text.encode()
+    gone = bytearray(len(data))
+    for i in range(len(data) - length + 1):
+        if counts[data[i : i + length]] > 1:
+            gone[i : i + length] = b"\1" * length
+    at = np.cumsum([0] + [len(c.encode()) for c in text])
+    return "".join(c for c, a, z in zip(text, at[:-1], at[1:]) if not all(gone[a:z]))
+
+
+@pytest.mark.parametrize("short, length", [(13, 14), (40, 101), (240, 400)])
+def test_two_lengths_in_one_search(spark, short, length, monkeypatch):
+    monkeypatch.setattr(suffix, "BUCKET_BYTES", 4096)
+    random = np.random.default_rng(short)
+    noise = lambda n: "".join(random.choice(list("abcdefghijklmnop"), n)) + "é€"
+    passages = [noise(n - 2) for n in (short - 4, short, short + 1, length - 6, length - 1, length, 3 * length)]
+    rows = [(0, None), (1, ""), (2, "x" * short), (3, "z" * (length + 1)), (4, "ab" * length), (5, noise(short)), (6, noise(length))]
+    rows += [(10 + i, noise(i * 5) + passages[i % 7] + noise(i * 3) + passages[(i + 1) % 7]) for i in range(40)]
+    rows += [(60, rows[5][1]), (61, rows[6][1]), (62, rows[12][1]), (62, rows[12][1]), (63, "q" + rows[6][1])]
+    rows += [(70, noise(9) + passages[6][:-1] + "€" + noise(9)), (71, passages[1] + noise(9) + passages[1])]
+    docs = frame(spark, rows).repartition(5)
+    found = suffix.remove_repeats(docs, length, short).collect()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]), bytes(r["kept"])) for r in found)
+    assert got == plain_cut(rows, length)
+    texts = [(t or "").encode() for _, t in rows]
+    counts = Counter(b[i : i + short] for b in texts for i in range(len(b) - short + 1))
+    want = sorted((d, without_characters(t or "", short, counts)) for d, t in rows)
+    assert sorted((r["doc_id"], r["text"]) for r in found) == want
+    assert all(r["n_passage_bytes"] == r["n_bytes"] - len(r["text"].encode()) for r in found)
+
+
+def test_passages_under_400_bytes_are_in_the_further_columns(spark, tmp_path):
+    random = np.random.default_rng(4)
+    word = lambda: "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), int(random.choice([2, 3, 4, 5, 6, 7]))))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(52) for _ in range(20)]
+    docs = [(2 * i + k, f"{text(120)} {passages[i]} {text(90)}") for i in range(20) for k in (0, 1)] + [(100 + i, text(200)) for i in range(20)]
+    frame(spark, docs).repartition(16).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op7_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert max(len(p) for p in passages) < 398
+    for i, t in docs:
+        r = rows[i]
+        assert r["n_removed"] == 0 and r["kept_sha256"] == hashlib.sha256(t.encode()).hexdigest()  # the contract's 400 bytes
+        if i < 40:
+            assert passages[i // 2] not in r["text"] and len(passages[i // 2]) <= r["n_passage_bytes"] <= len(passages[i // 2]) + 6
+        else:
+            assert r["text"] == t and r["n_passage_bytes"] == 0
+
+
 def test_digest_columns(spark):
     rows = {r["doc_id"]: r for r in queries.QUERIES["op7_suffix_dedup"](spark, SF_SMALL).collect()}
     for doc, size, removed, spans, kept in plain_cut(rows_of(real(spark)), 400):
