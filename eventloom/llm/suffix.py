@@ -10,8 +10,8 @@ suffixes agree in their first length - v + 1 bytes. The stages:
    their first `length` bytes.
 3. Merge and compare: those suffixes are sorted by the long names; equal neighbours begin a repeated string.
 
-Where strings of two lengths are asked for, the longer ones need no sample of their own: a repeated string of
-`length` bytes begins where all its shorter strings begin repeated ones, one start after the other.
+Where strings of two lengths are asked for, the longer ones need no sample of their own: all shorter strings of a
+repeated longer one are repeated, so it begins where the positions of step 2 go on without a gap. Both are named there.
 
 Names are 64-bit fingerprints within a bucket that a second fingerprint chooses, so sorting by name needs
 no bytes of the text. A task's own repeats of a name are settled in the task and sent on once: a passage
@@ -194,7 +194,7 @@ def _join_names(width: int, buckets: int):
             out_docs.append(np.concatenate(docs)[twice])
             out_positions.append(np.concatenate(positions)[twice])
         doc, position = np.concatenate(out_docs), np.concatenate(out_positions)
-        home = _home(doc, buckets)
+        home = _home(doc, buckets) + np.int32(buckets if frame["bucket"].iloc[0] >= buckets else 0)
         order = np.lexsort((position, doc, home))
         doc, position, home = doc[order], position[order], home[order]
         edges = np.flatnonzero(np.r_[True, home[1:] != home[:-1], True]) if len(doc) else np.zeros(1, int)
@@ -205,14 +205,14 @@ def _join_names(width: int, buckets: int):
 
 
 def _gather(frame: pd.DataFrame) -> pd.DataFrame:
-    """All positions of each document of a home bucket."""
+    """All positions of each document of a home bucket, of one length."""
     pairs = [_pairs(d, c, p) for d, c, p in zip(frame["docs"], frame["counts"], frame["positions"])]
     doc, position = (np.concatenate(x) for x in zip(*pairs))
     order = np.lexsort((position, doc))
     doc, position = doc[order], position[order]
     edges = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1], True])
     found = [[_squeeze(np.unique(position[a:z]))] for a, z in zip(edges[:-1], edges[1:])]
-    return pd.DataFrame({"doc_id": doc[edges[:-1]], "found": found})
+    return pd.DataFrame({"doc_id": doc[edges[:-1]], "found": found, "home": int(frame["home"].iloc[0])})
 
 
 def _positions(found: list | None) -> np.ndarray:
@@ -232,39 +232,27 @@ def _runs(starts: np.ndarray, more: int) -> np.ndarray:
     return starts[: max(len(starts) - more, 0)][starts[more:] - starts[: max(len(starts) - more, 0)] == more]
 
 
-def _longer(more: int):
-    """Packed starts to packed starts of strings `more` bytes longer that may repeat; documents without any have no row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [_runs(_positions(found), more) for found in batch.column("found").to_pylist()]
-            some = np.array([len(at) > 0 for at in rows], bool)
-            packed = [[_squeeze(at.astype(np.uint32))] for at in rows if len(at)]
-            ids = batch.column("doc_id").filter(pa.array(some))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.list_(pa.binary()))], ["doc_id", "found"])
-
-    return run
-
-
-def _name_again(length: int, buckets: int, sampled: bool = True):
-    """Names of `length` bytes where `found` has a sampled suffix in reach, or at the very positions it holds."""
+def _name_again(length: int, buckets: int, longer: int | None = None):
+    """Names of strings that may repeat. Those of `longer` bytes, if asked for, have buckets of their own: from `buckets` on."""
     v, _ = difference_cover(_order_for(length))
 
+    def names_of(ids, data, offsets, starts, size: int) -> Iterator[tuple]:
+        row = np.repeat(np.arange(len(starts)), [len(x) for x in starts])
+        position = np.concatenate(starts)
+        begin = offsets[row] + position
+        names = span_hashes(data, begin, begin + size, 2)
+        high = span_hashes(data, begin, begin + size, 3)
+        return _emit(ids[row], position, names, high, buckets, 8)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (piece for batch in batches for piece in slices(batch, "text", SLICE)):
             ids, data, offsets = _texts(batch)
             found = batch.column("found").to_pylist()
-            rows, starts = [], []
-            for i, size in enumerate(np.diff(offsets).tolist()):
-                here = _positions(found[i])
-                here = _reach(here, size, v, length) if sampled else here[here + length <= size]
-                rows.append(np.full(len(here), i))
-                starts.append(here)
-            row, position = np.concatenate(rows), np.concatenate(starts)
-            begin = offsets[row] + position
-            names = span_hashes(data, begin, begin + length, 2)
-            high = span_hashes(data, begin, begin + length, 3)
-            yield from _rows(_emit(ids[row], position, names, high, buckets, 8))
+            starts = [_reach(_positions(found[i]), size, v, length) for i, size in enumerate(np.diff(offsets).tolist())]
+            yield from _rows(names_of(ids, data, offsets, starts, length))
+            if longer:
+                starts = [_runs(x, longer - length) for x in starts]
+                yield from _rows((b + buckets, *rest) for b, *rest in names_of(ids, data, offsets, starts, longer))
 
     return run
 
@@ -289,7 +277,8 @@ def _matches(texts: DataFrame, name: Callable, buckets: int, width: int, label:
     packed = blobs.groupBy("bucket").applyInPandas(
         _join_names(width, buckets), "home int, docs binary, counts binary, positions binary"
     )
-    return settle(packed.groupBy("home").applyInPandas(_gather, "doc_id bigint, found array<binary>"), label)
+    gathered = packed.groupBy("home").applyInPandas(_gather, "doc_id bigint, found array<binary>, home int")
+    return settle(gathered.select("doc_id", "found", (F.col("home") >= buckets).alias("longer")), label)
 
 
 def _long_texts(docs: DataFrame, length: int) -> DataFrame:
@@ -314,18 +303,11 @@ def _bucket_count(texts: DataFrame) -> int:
     return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
 
 
-def _starts(single: DataFrame, length: int, buckets: int) -> DataFrame:
-    """doc_id and packed starts of repeated strings of `length` bytes."""
-    survivors = _matches(single, _sample(length, buckets), buckets, 4, "sampled-suffixes")
+def _starts(single: DataFrame, length: int, buckets: int, longer: int | None = None) -> DataFrame:
+    """doc_id and packed starts (found) of repeated strings of `length` bytes; a row of its own (longer) for those of `longer`."""
+    survivors = _matches(single, _sample(length, buckets), buckets, 4, "sampled-suffixes").drop("longer")
     near = join_small(single, survivors, "doc_id", "inner", 200_000)
-    return _matches(near, _name_again(length, buckets), buckets, 8, "repeated-starts")
-
-
-def _longer_starts(single: DataFrame, starts: DataFrame, short: int, length: int, buckets: int) -> DataFrame:
-    """The same for a greater length, from the starts of `short` bytes."""
-    candidates = settle(starts.mapInArrow(_longer(length - short), starts.schema), "longer-starts")
-    near = join_small(single, candidates, "doc_id", "inner", 200_000)
-    return _matches(near, _name_again(length, buckets, sampled=False), buckets, 8, "repeated-longer-starts")
+    return _matches(near, _name_again(length, buckets, longer), buckets, 8, "repeated-starts")
 
 
 def _merged(starts: DataFrame, copies: DataFrame, length: int) -> DataFrame:
@@ -355,9 +337,9 @@ def repeated_spans_of_two(docs: DataFrame, short: int, length: int) -> DataFrame
     texts = _long_texts(docs, short)
     copies, buckets = _copies(texts), _bucket_count(texts)
     single = join_small(texts, copies.where("doc_id <> first").select("doc_id"), "doc_id", "left_anti")
-    starts = _starts(single, short, buckets)
-    spans = _merged(_longer_starts(single, starts, short, length, buckets), copies, length)
-    passages = _merged(starts, copies, short).withColumnRenamed("spans", "passages")
+    starts = _starts(single, short, buckets, length)
+    spans = _merged(starts.where("longer"), copies, length)
+    passages = _merged(starts.where("not longer"), copies, short).withColumnRenamed("spans", "passages")
     return settle(passages.join(spans, "doc_id", "left").select("doc_id", "spans", "passages"), "repeated-spans")
 
 
