@@ -3,10 +3,12 @@
 Words are taken per language. A phrase can be frequent only if all its parts are (Apriori). So, level by level:
 
 1. Words are counted exactly. Frequent ones go into a bitmap of fixed size.
-2. For lengths 2, 3 and 4: every task counts the phrases whose parts passed, by two hashes, in counters that stop at
-   the threshold; the tasks' counters are summed. A phrase with a sum below the threshold is not frequent; all
-   others pass (counters shared with other phrases can only let too many pass). The sums leave as a bitmap.
-3. The phrases that passed are gathered once each: the candidates, a superset of the frequent phrases.
+2. For lengths 2, 3 and 4: every task counts the phrases whose parts passed, by hash, in counters that stop at the
+   threshold; the tasks' counters are summed. There are several counters for each word of the corpus, of which only
+   those in use are held and sent. A phrase with a sum below the threshold is not frequent; all others pass (counters
+   shared with other phrases can only let too many pass). Which counters pass leaves as a filter of some bits for each.
+3. The phrases that passed are gathered once each: the candidates, a superset of the frequent phrases. A sample of the
+   texts comes first; all tasks are told the keys that it holds, up to a bound, and send only other ones.
 4. They are built into double-array tries of bounded size, broadcast one after the other. A task advances the
    states of all its text positions at once, word by word, and counts the accepting states in one array; the
    arrays are summed over the tasks. These counts are exact, overlaps included.
@@ -38,10 +40,16 @@ COVERED = 80  # percent of a phrase's occurrences in a longer one that make it a
 TOP = 2000
 SCALE = 2_000_000
 WORD_BITS = 24
-SKETCH_BITS = (16, 24)  # counters of a sketch: about one a word of the corpus, within these bounds
+SKETCH_BITS = (16, 40)  # counters of a sketch: 2^SKETCH_SPARE a word of the corpus, within these bounds
+SKETCH_SPARE = 3
+COUNTERS = 2_000_000  # counters in use that a task holds at a time
+FILTER_BITS = 28  # of the filter of a sketch, at most
+PROBES = 4  # bits of a counter in it
 BLOCK = 1 << 14
-TRIE = 500_000
-ROOMY = 6  # slots of a trie per node
+TRIE = 1_500_000
+ROOMY = 3  # slots of a trie per node
+SAMPLE = 16  # one text of so many is searched for candidates first
+TOLD = 4_000_000  # keys of candidates told to every task, at most
 BUCKET_WORDS = 1_000_000  # words of the corpus for each bucket of candidates
 SLICE = 2 << 20
 _SOLID = np.ones(256, bool)
@@ -91,7 +99,31 @@ def phrase_keys(words: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def passing(words: Words, known: np.ndarray, sketches: list[np.ndarray]) -> list[np.ndarray]:
+@dataclass
+class Sketch:
+    """Which of the 2^bits counters reached the threshold: for each bucket of counters a filter of 64-bit words."""
+
+    bits: int
+    filters: np.ndarray
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        counter, buckets = keys >> np.uint64(64 - self.bits), np.uint64(len(self.filters))
+        at, bucket, rest = np.arange(len(keys)), (counter % buckets).astype(np.int64), counter // buckets
+        for place in range(PROBES):
+            bit = _probe(rest, place, 64 * self.filters.shape[1])
+            hit = self.filters[bucket, (bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) == 1
+            at, bucket, rest = at[hit], bucket[hit], rest[hit]
+        out = np.zeros(len(keys), bool)
+        out[at] = True
+        return out
+
+
+def _probe(rest: np.ndarray, place: int, size: int) -> np.ndarray:
+    """One of the bits, of `size`, a power of 2, that stand for a counter of a bucket."""
+    return mix(rest + np.uint64(place * int(_STEP) % 2**64)) >> np.uint64(65 - size.bit_length())
+
+
+def passing(words: Words, known: np.ndarray, sketches: list[Sketch]) -> list[np.ndarray]:
     """Per length from 1: the positions whose phrase, with all its parts, passes what is known so far; one length more, untested."""
     alive = np.flatnonzero(is_set(known, words.keys))
     levels = [alive]
@@ -103,7 +135,7 @@ def passing(words: Words, known: np.ndarray, sketches: list[np.ndarray]) -> list
         at = at[words.joined[at + 1]]
         if length - 2 < len(sketches):
             keys = _keys_at(words, at, length)
-            at = at[is_set(sketches[length - 2], keys) & is_set(sketches[length - 2], mix(keys))]
+            at = at[sketches[length - 2].holds(keys)]
         levels.append(at)
     return levels
 
@@ -146,69 +178,132 @@ def _blocks(counters: np.ndarray) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["block", "shard", "counts"])
 
 
-def _added(kind: str, most: int | None):
-    def run(table: pa.Table) -> pa.Table:
-        import zstandard
-
-        read, total = zstandard.ZstdDecompressor(), None
-        for counts in table.column("counts"):
-            more = np.frombuffer(read.decompress(counts.as_py()), kind).astype(np.int64)
-            total = more if total is None else total + more
-        total = (total if most is None else np.minimum(total, most)).astype(kind)
-        row = [table.column(c).slice(0, 1) for c in ("block", "shard")]
-        return pa.table([*row, pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())], names=["block", "shard", "counts"])
+def _added(table: pa.Table) -> pa.Table:
+    import zstandard
 
-    return run
+    read, total = zstandard.ZstdDecompressor(), None
+    for counts in table.column("counts"):
+        more = np.frombuffer(read.decompress(counts.as_py()), np.int64)
+        total = more if total is None else total + more
+    row = [table.column(c).slice(0, 1) for c in ("block", "shard")]
+    return pa.table([*row, pa.array([zstandard.ZstdCompressor(level=1).compress(total.tobytes())], pa.binary())], names=["block", "shard", "counts"])
 
 
-def _sum(blocks: DataFrame, kind: str, most: int | None, label: str) -> DataFrame:
+def _sum(blocks: DataFrame, label: str) -> DataFrame:
     """The tasks' blocks added up: 128 tasks at a time, then all, so that no group holds more than a 128th of them."""
     shape = "block bigint, shard bigint, counts binary"
-    some = blocks.groupBy("block", "shard").applyInArrow(_added(kind, most), shape)
-    return settle(some.groupBy("block").applyInArrow(_added(kind, most), shape), label)
+    some = blocks.groupBy("block", "shard").applyInArrow(_added, shape)
+    return settle(some.groupBy("block").applyInArrow(_added, shape), label)
+
+
+def _steps(ordered: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers, packed: byte planes of their differences."""
+    import zstandard
+
+    steps = np.diff(ordered, prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unstepped(packed: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
-def _sketch(least: int, bits: int, known: np.ndarray, sketches: list[np.ndarray]):
-    kind, length = np.uint8 if least < 256 else np.uint32, len(sketches) + 2
+def _summed(counters: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every counter once, in order, and its sum."""
+    if not len(counters):
+        return counters, times
+    order = np.argsort(counters, kind="stable")
+    counters, times = counters[order], times[order]
+    first = np.flatnonzero(np.r_[True, counters[1:] != counters[:-1]])
+    return counters[first], np.add.reduceat(times, first)
+
+
+def _sketch(least: int, bits: int, buckets: int, known: np.ndarray, sketches: list[Sketch]):
+    """A task's counters in use, each up to `least`, packed by bucket."""
+    length = len(sketches) + 2
+
+    def packed(counters: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
+        bucket, rest = (counters % np.uint64(buckets)).astype(np.int64), counters // np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, rest, times = bucket[order], rest[order], np.minimum(times, least)[order].astype(np.uint32)
+        edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, np.int64)
+        spans = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+        names = [_steps(rest[a:z]) for a, z in spans]
+        counts = [press.compress(np.ascontiguousarray(times[a:z].view(np.uint8).reshape(-1, 4).T).tobytes()) for a, z in spans]
+        columns = [pa.array(bucket[edges[:-1]]), pa.array(names, pa.binary()), pa.array(counts, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "names", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(1 << bits, kind)
+        held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         for _, words in _pieces(batches):
             keys = _keys_at(words, passing(words, known, sketches)[-1], length)
-            at, times = np.unique((np.r_[keys, mix(keys)] >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
-            counters[at] = np.minimum(counters[at].astype(np.int64) + times, least)
-        yield from _blocks(counters)
+            held.append(np.unique(keys >> np.uint64(64 - bits), return_counts=True))
+            if sum(len(c) for c, _ in held) >= COUNTERS:
+                held = [_summed(*(np.concatenate(c) for c in zip(*held)))]
+                if len(held[0][0]) >= COUNTERS // 2:
+                    yield packed(*held.pop())
+                    held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+        yield packed(*_summed(*(np.concatenate(c) for c in zip(*held))))
 
     return run
 
 
-def _bitmap(least: int, kind: str, bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reached(least: int):
+    """The counters of a bucket whose sum is `least` or more."""
+
+    def run(table: pa.Table) -> pa.Table:
         import zstandard
 
+        read, names, times = zstandard.ZstdDecompressor(), [], []
+        for name, counts in zip(table.column("names"), table.column("counts")):
+            names.append(_unstepped(name.as_py()))
+            planes = np.frombuffer(read.decompress(counts.as_py()), np.uint8)
+            times.append(np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view(np.uint32).astype(np.int64))
+        counters, sums = _summed(np.concatenate(names), np.concatenate(times))
+        counters = counters[sums >= least]
+        return pa.table([table.column("bucket").slice(0, 1), pa.array([len(counters)]), pa.array([_steps(counters)], pa.binary())], names=["bucket", "n", "names"])
+
+    return run
+
+
+def _filter(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(c), kind) for c in batch.column("counts").to_pylist()]
-            packed = [np.packbits(c >= least, bitorder="little").tobytes() for c in counts]
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(packed, pa.binary())], ["block", "bits"])
+            filters = []
+            for names in batch.column("names").to_pylist():
+                some, bits = _unstepped(names), np.zeros(size, bool)
+                for place in range(PROBES):
+                    bits[_probe(some, place, size).astype(np.int64)] = True
+                filters.append(np.packbits(bits, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(filters, pa.binary())], ["bucket", "bits"])
 
     return run
 
 
-def _sketched(docs: DataFrame, least: int, bits: int, known: np.ndarray, sketches: list[np.ndarray]) -> np.ndarray:
-    kind = "u1" if least < 256 else "u4"
-    blocks = docs.mapInArrow(_sketch(least, bits, known, sketches), "block bigint, shard bigint, counts binary")
-    rows = _sum(blocks, kind, least, "phrase-sketch").mapInArrow(_bitmap(least, kind, bits), "block bigint, bits binary").toArrow()
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    for block, packed in zip(rows.column("block").to_pylist(), rows.column("bits").to_pylist()):
-        out[block * BLOCK // 8 :][: len(packed)] = np.frombuffer(packed, np.uint8)
-    return out.view(np.uint64)
+def _sketched(docs: DataFrame, least: int, bits: int, buckets: int, known: np.ndarray, sketches: list[Sketch]) -> Sketch:
+    """Which counters pass: 16 to 32 bits of filter for each, as long as FILTER_BITS suffice."""
+    counted = docs.mapInArrow(_sketch(least, bits, buckets, known, sketches), "bucket bigint, names binary, counts binary")
+    passed = settle(counted.groupBy("bucket").applyInArrow(_reached(least), "bucket bigint, n bigint, names binary"), "phrase-sketch")
+    most = passed.agg(F.max("n")).first()[0] or 0
+    size = 1 << max(min((16 * most).bit_length(), FILTER_BITS - buckets.bit_length()), 6)
+    rows = passed.where("n > 0").mapInArrow(_filter(size), "bucket bigint, bits binary").toArrow()
+    filters = np.zeros((buckets, size // 64), np.uint64)
+    for bucket, packed in zip(rows.column("bucket").to_pylist(), rows.column("bits").to_pylist()):
+        filters[bucket] = np.frombuffer(packed, np.uint64)
+    return Sketch(bits, filters)
 
 
 # Candidates
 
 
-def _gather(known: np.ndarray, sketches: list[np.ndarray], buckets: int):
-    """Every candidate once a task, packed in lists by the bucket of its key."""
+def _gather(known: np.ndarray, sketches: list[Sketch], buckets: int, told: np.ndarray):
+    """Every candidate once a task, but for those told, in order, beforehand; packed in lists by the bucket of its key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.zeros(0, np.uint64)
@@ -219,9 +314,10 @@ def _gather(known: np.ndarray, sketches: list[np.ndarray], buckets: int):
             length = np.repeat(np.arange(1, LONGEST + 1), [len(singles), *map(len, levels[1:LONGEST])])
             keys = np.concatenate([words.keys[singles], *(_keys_at(words, levels[k - 1], k) for k in range(2, LONGEST + 1))])
             keys, where = np.unique(keys, return_index=True)
-            if len(sent):
-                new = sent[np.minimum(np.searchsorted(sent, keys), len(sent) - 1)] != keys
-                keys, where = keys[new], where[new]
+            for before in (told, sent):
+                if len(before):
+                    new = before[np.minimum(np.searchsorted(before, keys), len(before) - 1)] != keys
+                    keys, where = keys[new], where[new]
             sent = np.union1d(sent, keys) if len(sent) < 4_000_000 else keys
             bucket = (keys % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
@@ -246,10 +342,25 @@ def _spans(words: Words, at: np.ndarray, length: np.ndarray) -> Iterator[tuple[l
 
 
 def _once(table: pa.Table) -> pa.Table:
-    """The different candidates of a bucket."""
+    """The different candidates of a bucket, and how many lists of it have each."""
     flat = pa.table({c: pa.chunked_array([x.flatten() for x in table.column(c).chunks]) for c in ("key", "k", "lang", "phrase")})
-    _, where = np.unique(flat.column("key").to_numpy(), return_index=True)
-    return flat.take(pa.array(where))
+    _, where, lists = np.unique(flat.column("key").to_numpy(), return_index=True, return_counts=True)
+    return flat.take(pa.array(where)).append_column("lists", pa.array(lists))
+
+
+def _gathered(docs: DataFrame, known: np.ndarray, sketches: list[Sketch], buckets: int) -> DataFrame:
+    """The candidates: key, k, lang, phrase. Those of the sample that most tasks have are told to all, which then send only others."""
+    shape = "bucket bigint, key array<bigint>, k array<int>, lang array<string>, phrase array<string>"
+    search = lambda rows, told, label: settle(
+        rows.mapInArrow(_gather(known, sketches, buckets, told), shape).groupBy("bucket").applyInArrow(_once, "key bigint, k int, lang string, phrase string, lists bigint"),
+        label,
+    )
+    first = search(docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0), np.zeros(0, np.uint64), "sampled-candidates")
+    held = first.where("lists > 1") if first.count() > TOLD else first
+    held = held.orderBy(F.desc("lists"), "key").limit(TOLD) if held.count() > TOLD else held
+    held = settle(held.select("key", "k", "lang", "phrase"), "told-candidates")
+    told = np.sort(held.select("key").toArrow().column("key").to_numpy().view(np.uint64))
+    return settle(held.unionByName(search(docs, told, "other-candidates").drop("lists")), "phrase-candidates")
 
 
 # Tries
@@ -360,17 +471,18 @@ def _count_phrases(broadcast):
             place = np.minimum(np.searchsorted(trie.symbols, words.keys), len(trie.symbols) - 1)
             symbols = np.where(trie.symbols[place] == words.keys, place, -1)
             at = np.flatnonzero(symbols >= 0)
-            states = np.zeros(len(at), np.int64)
+            states, accepted = np.zeros(len(at), np.int64), []
             for depth in range(LONGEST):
                 states = trie.step(states, symbols[at + depth])
                 alive = states >= 0
                 at, states = at[alive], states[alive]
                 found = trie.number[states]
-                counts += np.bincount(found[found >= 0], minlength=candidates)
+                accepted.append(found[found >= 0])
                 inside = at + depth + 1 < len(symbols)
                 at, states = at[inside], states[inside]
                 on = words.joined[at + depth + 1]
                 at, states = at[on], states[on]
+            counts += np.bincount(np.concatenate(accepted), minlength=candidates)
         yield from _blocks(counts)
 
     return run
@@ -404,15 +516,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     totals = words.where("key is null").select("lang", "n")
     known = bitmap_of(words.where("key is not null"), "key", WORD_BITS)
     total = totals.agg(F.sum("n")).first()[0] or 0
-    bits = min(max(total.bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
-    sketches: list[np.ndarray] = []
-    for _ in range(2, LONGEST + 1):
-        sketches.append(_sketched(docs, least, bits, known, sketches))
+    bits = min(max(total.bit_length() + SKETCH_SPARE, SKETCH_BITS[0]), SKETCH_BITS[1])
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_WORDS)
-    gathered = docs.mapInArrow(_gather(known, sketches, buckets), "bucket bigint, key array<bigint>, k array<int>, lang array<string>, phrase array<string>")
-    candidates = settle(
-        gathered.groupBy("bucket").applyInArrow(_once, "key bigint, k int, lang string, phrase string"), "phrase-candidates"
-    )
+    sketches: list[Sketch] = []
+    for _ in range(2, LONGEST + 1):
+        sketches.append(_sketched(docs, least, bits, buckets, known, sketches))
+    candidates = _gathered(docs, known, sketches, buckets)
     longer = candidates.where("k > 1")
     tries = max(1, -(-longer.count() // TRIE))
     counts = words.where("key is not null").select("key", F.col("n").alias("f"))
@@ -421,7 +530,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
         sent = spark.sparkContext.broadcast((trie, len(keys)))
         if len(keys):
             blocks = docs.mapInArrow(_count_phrases(sent), "block bigint, shard bigint, counts binary")
-            counts = counts.unionByName(_sum(blocks, "i8", None, "phrase-counts").mapInArrow(_keyed(keys), "key bigint, f bigint"))
+            counts = counts.unionByName(_sum(blocks, "phrase-counts").mapInArrow(_keyed(keys), "key bigint, f bigint"))
         sent.unpersist()
     found = candidates.join(counts.where(F.col("f") >= least), "key").select("lang", "phrase", "k", "f")
     return settle(found, "frequent-phrases"), totals

@@ -106,3 +106,44 @@ def test_a_full_sketch_only_lets_more_pass(spark, monkeypatch):
     found, _ = phrases.frequent_phrases(docs, 30)
     assert sorted(tuple(r) for r in phrases.collocations(docs, 30, 2000).collect()) == plain(texts(), 30, 2000)
     assert found.where("f < 30").count() == 0
+
+
+def test_candidates_follow_the_frequent_phrases(spark, monkeypatch):
+    """However many different phrases there are: few of those that are not frequent pass."""
+    random = np.random.default_rng(8)
+    rows = [("en", " ".join(f"w{i}" for i in random.integers(0, 20_000, 600))) for _ in range(150)] + [("de", "eins zwei drei vier")] * 3
+    kept, settle = {}, phrases.settle
+
+    def keep(frame, label):
+        kept[label] = settle(frame, label)
+        return kept[label]
+
+    monkeypatch.setattr(phrases, "settle", keep)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    got = sorted(tuple(r) for r in phrases.collocations(docs, 2, 500).collect())
+    assert got == plain(rows, 2, 500) and len(got) > 0
+    assert kept["phrase-candidates"].where("k > 1").count() < 150 * 600 / 5
+
+
+def test_counters_of_tasks_add_up(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "COUNTERS", 40)
+    monkeypatch.setattr(phrases, "SLICE", 200)
+    docs = spark.createDataFrame(texts(), "lang string, text string").repartition(3)
+    assert sorted(tuple(r) for r in phrases.collocations(docs, 30, 2000).collect()) == plain(texts(), 30, 2000)
+
+
+@pytest.mark.parametrize("sample,told", [(1, 1_000_000), (2, 5), (2, 1_000_000), (10**9, 7)])
+def test_candidates_of_a_sample_are_not_sent_again(spark, monkeypatch, sample, told):
+    monkeypatch.setattr(phrases, "SAMPLE", sample)
+    monkeypatch.setattr(phrases, "TOLD", told)
+    sent, settle = {}, phrases.settle
+
+    def keep(frame, label):
+        sent[label] = settle(frame, label)
+        return sent[label]
+
+    monkeypatch.setattr(phrases, "settle", keep)
+    docs = spark.createDataFrame(texts(), "lang string, text string").repartition(5)
+    assert sorted(tuple(r) for r in phrases.collocations(docs, 3, 2000).collect()) == plain(texts(), 3, 2000)
+    first, rest = ({r["key"] for r in sent[c].collect()} for c in ("told-candidates", "other-candidates"))
+    assert len(first) <= told and not first & rest and (rest == set()) == (sample == 1)
