@@ -46,7 +46,7 @@ COUNTERS = 2_000_000  # counters in use that a task holds at a time
 FILTER_BITS = 28  # of the filter of a sketch, at most
 PROBES = 4  # bits of a counter in it
 BLOCK = 1 << 14
-TRIE = 1_500_000
+TRIE = 800_000
 ROOMY = 3  # slots of a trie per node
 SAMPLE = 16  # one text of so many is searched for candidates first
 TOLD = 4_000_000  # keys of candidates told to every task, at most
@@ -392,13 +392,12 @@ def build_trie(paths: np.ndarray, lengths: np.ndarray, seed: int = 1) -> Trie:
     Nodes with most children are placed first, at the first of some random bases whose slots are free, or, failing
     that, behind all others; nodes with one child take any free slot.
     """
-    symbols = np.unique(np.concatenate([paths[:, k][lengths > k] for k in range(paths.shape[1])] or [np.zeros(0, np.uint64)]))
-    ids = np.searchsorted(symbols, paths)
+    symbols = np.unique(np.concatenate([np.unique(paths[:, k][lengths > k]) for k in range(paths.shape[1])] or [np.zeros(0, np.uint64)]))
     node, nodes = np.zeros(len(paths), np.int64), 1
     parent, symbol, number_of = [np.array([-1])], [np.array([-1])], {}
     for k in range(paths.shape[1]):
         long = np.flatnonzero(lengths > k)
-        edges, which = np.unique(node[long] * (len(symbols) + 1) + ids[long, k], return_inverse=True)
+        edges, which = np.unique(node[long] * (len(symbols) + 1) + np.searchsorted(symbols, paths[long, k]), return_inverse=True)
         parent.append(edges // (len(symbols) + 1))
         symbol.append(edges % (len(symbols) + 1))
         node[long] = nodes + which
